@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kodeks.llm import skeleton
+from kodeks.llm import canon, skeleton
 from kodeks.session import table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.map_titles(table(spark, sf_dir, "llm_references"), "ref_id", table(spark, sf_dir, "act_catalog"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = skeleton.cell_cases(table(spark, sf_dir, "act_chars"))
     titles = skeleton.text_cases(table(spark, sf_dir, "llm_references"), "ref_id", "tytul").distinct()
@@ -19,5 +23,5 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skeleton.skeleton_groups(table(spark, sf_dir, "llm_references"), "tytul")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_groups)}
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups)}
 SQL: dict[str, str] = {}
