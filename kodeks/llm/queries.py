@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kodeks.llm import canon, leakage, skeleton
+from kodeks.llm import canon, leakage, readability, skeleton
 from kodeks.session import table
 
 
@@ -27,5 +27,9 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups, p9_found)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_ratings"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups, p9_found, p10_found)}
 SQL: dict[str, str] = {}
