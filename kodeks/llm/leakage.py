@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ _PLAIN = str.maketrans("ąćęłńóśźż", "acelnoszz")
 _INSIDE = re.compile(r"[\u00ad\u200b-\u200d\u2060\ufeff]")
 
 
+@lru_cache(1 << 18)
 def plain(word: str) -> str:
     """A word in lower case without accents."""
     w = word if word.isascii() else word.translate(_PLAIN)

@@ -70,7 +70,7 @@ class Parsed:
     kinds: set[tuple[str, str]] = field(default_factory=set)
     text: str = ""
     plain: str = ""
-    ends_open: bool = False  # the text ends with a list item, code or formula, which need no full stop
+    ends_open: bool = False  # the text ends with a heading, code or formula, which need no full stop
 
 
 def unescape_markup(text: str) -> str:
@@ -195,7 +195,7 @@ def parse(source: str | None) -> Parsed:
             lines.append(s)
     while lines and not lines[-1]:
         lines.pop()
-    out.ends_open = bool(lines) and bool(re.match(r"[\1\2]|\0\d+\0$", lines[-1]))
+    out.ends_open = bool(lines) and bool(re.match(r"[\1]|\0\d+\0$", lines[-1]))
     out.text = re.sub(r"\0(\d+)\0", lambda m: kept[int(m[1])], "\n".join(lines).replace("\1", "# ").replace("\2", "- "))
     plain = " ".join(s.lstrip("\2") for s in lines if s and s[0] != "\1")
     out.plain = re.sub(r"\0(\d+)\0", lambda m: "" if kept[int(m[1])].startswith("```") else kept[int(m[1])], plain).strip()

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kodeks.llm import canon, leakage, markup, readability, scan, skeleton
+from kodeks.llm import canon, leakage, markup, pairs, readability, scan, skeleton
 from kodeks.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defects(table(spark, sf_dir, "questions"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.markup_kinds(table(spark, sf_dir, "questions"))
 
@@ -47,5 +51,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_ratings"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_clean, p3_found, p5_found, p5_groups, p6_found, p6_text, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p5_found, p5_groups, p6_found, p6_text, p9_found, p10_found)}
 SQL: dict[str, str] = {}
