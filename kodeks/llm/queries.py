@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kodeks.llm import canon, leakage, markup, pairs, readability, scan, skeleton
+from kodeks.llm import canon, leakage, markup, packing, pairs, readability, scan, skeleton
 from kodeks.session import table
 
 
@@ -43,6 +43,10 @@ def p6_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.repaired(table(spark, sf_dir, "act_pages"))
 
 
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -51,5 +55,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_ratings"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p5_found, p5_groups, p6_found, p6_text, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p5_found, p5_groups, p6_found, p6_text, p8_pack, p9_found, p10_found)}
 SQL: dict[str, str] = {}
