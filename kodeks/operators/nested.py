@@ -67,8 +67,9 @@ class Plan:
 
 
 def plan_tables(edges: list[tuple[tuple[str, ...], str, str]], alike: float = 0.5) -> Plan:
-    """Analyse the schema graph. Paths whose child labels agree (Jaccard at least ``alike``) are one type; a path
-    without known children joins the repeated type that most of its siblings have."""
+    """Analyse the schema graph. A label within one type is one type; so are siblings, or an element and one
+    around it, whose child labels agree (Jaccard at least ``alike``). A path without known children joins the type
+    that most of its siblings have."""
     kinds: dict[tuple[str, ...], set[str]] = {(): {"object"}}
     kids: dict[tuple[str, ...], set[str]] = {(): set()}
     for path, label, kind in edges:
@@ -77,19 +78,32 @@ def plan_tables(edges: list[tuple[tuple[str, ...], str, str]], alike: float = 0.
     nodes = sorted((p for p, k in kinds.items() if k & {"object", "array"} and "items" not in k or "object" in k), key=lambda p: (len(p), p))
     group: dict[tuple[str, ...], int] = {}
     content: list[set[str]] = []
+    by_place: dict[tuple[int, str], int] = {}  # an element's name within one type is one type
+
+    def likeness(own: set[str], g: int) -> float:
+        return len(own & content[g]) / len(own | content[g])
+
     for p in nodes:  # outer elements first, so that a wrapper joins the type it wraps
         own = kids.get(p, set())
-        best = max(range(len(content)), key=lambda g: len(own & content[g]) / len(own | content[g]) if own else -1, default=None)
-        if own and best is not None and len(own & content[best]) / len(own | content[best]) >= alike:
-            group[p] = best
-            content[best] |= own
-        elif own:
-            group[p] = len(content)
-            content.append(set(own))
+        if not own:
+            continue
+        place = (group.get(p[:-1], -1), p[-1]) if p else (-1, "")
+        g = by_place.get(place)
+        if g is None and p:
+            near = {group[p[:k]] for k in range(len(p)) if p[:k] in group} | {x for (up, _), x in by_place.items() if up == place[0]}
+            g = max((x for x in near if likeness(own, x) >= alike), key=lambda x: (likeness(own, x), -x), default=None)
+        if g is None:
+            g = len(content)
+            content.append(set())
+        group[p] = by_place[place] = g
+        content[g] |= own
     for p in nodes:  # containers that were only seen empty
         if p not in group and p:
-            near = [group[q] for q in group if q[:-1] == p[:-1] and q != p]
-            if near and (top := max(sorted(set(near)), key=near.count)) is not None and near.count(top) > 1:
+            place = (group.get(p[:-1], -1), p[-1])
+            near = [x for (up, _), x in by_place.items() if up == place[0] and x != place[0]]
+            if place in by_place:
+                group[p] = by_place[place]
+            elif near and near.count(top := max(sorted(set(near)), key=near.count)) > 1:
                 group[p] = top
     names = {}
     for p in sorted(group, key=lambda p: (len(p), p)):
