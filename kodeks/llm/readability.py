@@ -88,9 +88,11 @@ class LevelModel:
         return got
 
     def sentence_distributions(self, toks: list[list[str]]) -> np.ndarray:
-        sizes = np.array([max(1, len(t)) for t in toks])
-        flat = [self.word(w) for t in toks for w in (t or ["."])]
-        sums = np.add.reduceat(np.array(flat, np.float32), np.cumsum(sizes) - sizes, axis=0)
+        """Distribution over levels of every sentence; a sentence must hold a token."""
+        sizes = np.array([len(t) for t in toks])
+        codes, vocabulary = pd.factorize(np.array([w for t in toks for w in t], object))
+        table = np.array([self.word(w) for w in vocabulary], np.float32)
+        sums = np.add.reduceat(table[codes], np.cumsum(sizes) - sizes, axis=0)
         return softmax(sums / np.sqrt(sizes)[:, None] + self.length_weights[np.searchsorted(LENGTHS, sizes, side="right")])
 
     @staticmethod
@@ -100,20 +102,28 @@ class LevelModel:
         votes = np.bincount(p.argmax(axis=1), minlength=LEVELS) / len(p)
         return np.concatenate([p.mean(axis=0), w @ p, votes, [1.0]]).astype(np.float32)
 
-    def levels(self, texts: list[str]) -> list[int]:
-        """Level of each text; each must hold at least one token."""
-        toks, counts = [], []
-        for t in texts:
-            own = [x for x in map(self.tokens, sentences(t)) if x] or [["."]]
-            toks += own
-            counts.append(len(own))
-        if not toks:
-            return []
+    def levels(self, texts: list[str], language: LanguageModel | None = None) -> list[int | None]:
+        """Level of each text, None where it has no words or, with a language model, isn't Polish."""
+        split = [[x for x in map(self.tokens, sentences(t)) if x] for t in texts]
+        some = [i for i, own in enumerate(split) if own]
+        if language and some:
+            sizes = np.array([sum(map(len, split[i])) for i in some])
+            codes, vocabulary = pd.factorize(np.array([w for i in some for x in split[i] for w in x], object))
+            table = np.array([language.word(w) if w[0].isalpha() else np.zeros(len(language.languages)) for w in vocabulary])
+            scores = np.add.reduceat(table[codes], np.cumsum(sizes) - sizes, axis=0)
+            polish = (scores.argmax(axis=1) == language.languages.index("pl")) & scores.any(axis=1)
+            some = [i for i, p in zip(some, polish, strict=True) if p]
+        out: list[int | None] = [None] * len(texts)
+        if not some:
+            return out
+        toks = [x for i in some for x in split[i]]
         p = self.sentence_distributions(toks)
-        sizes = np.array([len(x) for x in toks], float)
+        sizes, counts = np.array([len(x) for x in toks], float), [len(split[i]) for i in some]
         ends = np.cumsum(counts)
         x = np.stack([self.document_features(p[e - c : e], sizes[e - c : e]) for e, c in zip(ends, counts, strict=True)])
-        return (softmax(x @ self.document_weights).argmax(axis=1) + 1).tolist()
+        for i, level in zip(some, (x @ self.document_weights).argmax(axis=1) + 1, strict=True):
+            out[i] = int(level)
+        return out
 
 
 def fit(rated: list[tuple[str, list[int]]], ridge: float = 1e-4) -> LevelModel:
@@ -129,6 +139,8 @@ def fit(rated: list[tuple[str, list[int]]], ridge: float = 1e-4) -> LevelModel:
                 labels.append(r - 1)
                 weights.append(ratings.count(r) / len(ratings))
                 doc_of.append(d)
+    if not toks:
+        raise ValueError("no rated text has words")
     vocabulary = sorted({w for t in toks for w in t})
     row = {w: k for k, w in enumerate(vocabulary)}
     g = np.zeros((len(vocabulary), DIMENSIONS), np.float32)
@@ -146,7 +158,7 @@ def fit(rated: list[tuple[str, list[int]]], ridge: float = 1e-4) -> LevelModel:
     model = LevelModel(w[:DIMENSIONS], w[DIMENSIONS:], np.zeros((3 * LEVELS + 1, LEVELS), np.float32))
     feats, dl, dw = [], [], []
     for text, ratings in rated:
-        own = [x for x in map(LevelModel.tokens, sentences(text)) if x] or [["."]]
+        own = [x for x in map(LevelModel.tokens, sentences(text)) if x]
         f = LevelModel.document_features(model.sentence_distributions(own), np.array([len(t) for t in own], float))
         for r in set(ratings):
             feats.append(f)
@@ -162,7 +174,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, most: int = MOST_DOCUMENTS
     r = ratings.where(F.col("doc_id").isNotNull() & F.col("level").between(1, LEVELS)).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("level").cast("int"))).alias("r_"))
     chosen = r.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.select("doc_id", "text").where("length(trim(text)) > 0").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("r_").alias("r_")).orderBy("doc_id").collect()
-    return [(x.text, list(x.r_)) for x in rows]
+    return [(x.text, list(x.r_)) for x in rows if LevelModel.tokens(x.text)]
 
 
 def reading_levels(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,8 +193,10 @@ def reading_levels(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", tex
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         levels, language = LevelModel(*weights), LanguageModel()
         for b in batches:
-            own = [language.language(t) == "pl" for t in b["text_"]]
-            b = b[own]
-            yield pd.DataFrame({"key_": b["key_"], "level": levels.levels(list(b["text_"]))})
+            for at in range(0, len(b), 512):
+                part = b.iloc[at : at + 512]
+                got = levels.levels(list(part["text_"]), language)
+                keep = [x is not None for x in got]
+                yield pd.DataFrame({"key_": part["key_"][keep], "level": [x for x in got if x is not None]})
 
     return pairs.mapInPandas(run, schema).withColumnRenamed("key_", key)
