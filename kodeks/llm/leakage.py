@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, RADIUS, BITS = 8, 3, 64  # the window is the largest power of two that light changes leave whole
+SLICE = 100_000  # windows fingerprinted at a time
+PART = 500_000  # letters of text searched at a time, a longer text by itself
 BAND = 16  # diagonals counted together
 BLOCKS, BLOCK_BITS = RADIUS + 1, BITS // (RADIUS + 1)
 
@@ -200,7 +202,9 @@ class LeakFinder:
         codes, vocabulary = pd.factorize(np.array(flat, object))
         folded, vocabulary = pd.factorize(np.array([plain(w) for w in vocabulary], object))
         codes = folded[codes]
-        prints = simhash_windows(sign_rows(vocabulary)[codes])
+        signs = sign_rows(vocabulary)
+        # in slices, so that memory doesn't grow with the length of a document
+        prints = np.concatenate([simhash_windows(signs[codes[k : k + SLICE + WINDOW - 1]]) for k in range(0, len(codes) - WINDOW + 1, SLICE)])
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(texts)), sizes)
         inside = doc[: len(prints)] == doc[WINDOW - 1 :]
@@ -266,8 +270,10 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, share: float =
         for b in batches:
             ids = b["key_"].to_numpy()
             texts = list(b["text_"])
-            for at in range(0, len(texts), 256):
-                got = finder.find(texts[at : at + 256])
+            ends = np.cumsum([len(t) for t in texts]) // PART
+            for part in np.unique(ends):
+                at = int(np.searchsorted(ends, part))
+                got = finder.find(texts[at : int(np.searchsorted(ends, part, side="right"))])
                 yield pd.DataFrame([(ids[at + g[0]], *g[1:]) for g in got], columns=["key_", "item_id", "first_word", "last_word", "similarity"])
 
     found = docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0").mapInPandas(run, f"key_ {kind}, item_id bigint, first_word int, last_word int, similarity double")
