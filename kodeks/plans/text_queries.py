@@ -11,6 +11,8 @@ from kodeks.plans.registry import Registry
 from kodeks.session import table
 
 query = Registry()
+# Relations that change an act.
+CHANGING = ["Akty zmieniające", "Akty uchylające", "Uchylenia wynikające z", "Inf. o tekście jednolitym"]
 _PAGE_TEXT = "(SELECT page_id, string_agg(l.text, chr(10) ORDER BY i) AS t FROM (SELECT DISTINCT page_id, unnest(page.paragraph_lines) AS l, generate_subscripts(page.paragraph_lines, 1) AS i FROM act_pages) WHERE l.text IS NOT NULL GROUP BY page_id)"
 
 
@@ -42,9 +44,10 @@ def flatten_units(spark, sf):
 
 @query()
 def ref_dates(spark, sf):
-    """Date of every reference: its own where the relation amends, else the act's promulgation, else its announcement
-    where the act is one."""
+    """Date of every reference that changes an act: its own, save for consolidated texts, else the act's promulgation,
+    else its announcement where the act is one. Null where none is known."""
     refs, _ = reference_tables(table(spark, sf, "act_references"))
+    refs = refs.where(F.col("relation").isin(CHANGING))
     own = F.when(~F.lower("relation").contains("inf."), F.col("date"))
     return refs.select("record_id", "relation", "ref_pos", F.coalesce(own, "promulgation", F.when(F.col("act_type") == "Obwieszczenie", F.col("announcement_date"))).alias("ref_date"))
 
@@ -132,12 +135,14 @@ def unit_range(spark, sf):
     return r.where("i BETWEEN 1 AND 2").select("ref_id", "p.artykul").distinct()
 
 
-@query()
+@query("""SELECT r.ref_id, c.eli, r.unit_no, r.p.artykul AS artykul, r.p.ustep AS ustep, r.p.punkt AS punkt FROM
+ (SELECT ref_id, t, unnest(przepisy) AS p, generate_subscripts(przepisy, 1) - 1 AS unit_no FROM (SELECT DISTINCT ref_id, rtrim(trim(lower(tytul)), '.') || '.' AS t, przepisy FROM llm_references)) r
+ JOIN (SELECT rtrim(trim(lower(tytul)), '.') || '.' AS t, min(eli) AS eli FROM act_catalog GROUP BY 1) c USING (t)""")
 def ref_resolve(spark, sf):
     """References resolved to an act by title, then to the articles they name, in order."""
     r = table(spark, sf, "llm_references").select("ref_id", "tytul", "przepisy").distinct()
     acts = match.exact_titles(r, table(spark, sf, "act_catalog"), "ref_id")
-    units = r.select("ref_id", F.posexplode("przepisy").alias("unit_no", "p")).select("ref_id", "unit_no", "p.*")
+    units = r.select("ref_id", F.posexplode("przepisy").alias("unit_no", "p")).select("ref_id", F.col("unit_no").cast("long").alias("unit_no"), "p.*")
     return units.join(acts.where("eli IS NOT NULL").distinct(), "ref_id").select("ref_id", "eli", "unit_no", "artykul", "ustep", "punkt")
 
 

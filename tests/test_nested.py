@@ -57,3 +57,21 @@ def test_recursive_elements():
     edges = [((), "items", "object"), (("items",), "name", "scalar"), (("items",), "items", "object"), (("items", "items"), "name", "scalar"), ((), "name", "scalar")]
     plan = plan_tables(edges)
     assert plan.type_of[("items",)] == plan.type_of[()] == "record"
+
+
+def test_reference_dates(spark, data):
+    import __spark_entry__ as entry
+
+    want = set()
+    for r in spark.read.parquet(data + "/act_references.parquet").collect():
+        o = read_body(r.call_result) or {}
+        o = o["references"] if isinstance(o.get("references"), dict) else o
+        for k in set(RELATIONS) - {"Podstawa prawna", "Akty wykonawcze"}:
+            v = o.get(k)
+            for i, x in enumerate(v if isinstance(v, list) else [v]):
+                if isinstance(x, dict):
+                    act = x.get("act") or {}
+                    own = None if k.startswith("Inf.") else x.get("date")
+                    want.add((r.record_id, k, i, own or act.get("promulgation") or (act.get("announcementDate") if act.get("type") == "Obwieszczenie" else None)))
+    got = {(r.record_id, r.relation, r.ref_pos, r.ref_date) for r in entry.queries()["ref_dates"](spark, data).collect()}
+    assert got == want
