@@ -59,7 +59,7 @@ class Trie:
         State k of the automaton is a bit mask: bit i is set where the first i letters of the token agree with the path
         so far with at most k errors. One step for a letter of the path moves all positions at once.
         """
-        m, top = len(token), most_errors(len(token)) if not prefix else (1 if len(token) > 4 else 0)
+        m, top = len(token), most_errors(len(token)) if not prefix else (0 if len(token) < 5 else 1 if len(token) < 7 else 2)
         mask: dict[str, int] = defaultdict(int)
         for i, c in enumerate(token):
             mask[c] |= 1 << i
@@ -179,7 +179,8 @@ class Matcher:
         name = token.rstrip(".")
         got = {(v, k) for v, k in self.c.words.search(name)}
         if token.endswith(".") and len(name) >= 2:
-            got |= {(v, k) for v, k in self.c.words.search(name, prefix=True) if "+" not in v}
+            # an abbreviation of words run together reaches into the second
+            got |= {(v, k) for v, k in self.c.words.search(name, prefix=True) if len(name) > v.find("+") + 2}
         if not got and name.endswith("z") and len(name) > 4:  # "z" of the date run into the word
             got = {(v, k + 1) for v, k in self.c.words.search(name[:-1])}
         best: dict[str, int] = {}
