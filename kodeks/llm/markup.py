@@ -36,9 +36,9 @@ _FORMULA = [
     ("html", re.compile(r"<math\b[^>]*>(?=\s*<)(.*?)</math\s*>", re.IGNORECASE | re.DOTALL)),
     ("latex", re.compile(r"<math\b[^>]*>(.*?)</math\s*>", re.IGNORECASE | re.DOTALL)),
     ("latex", re.compile(r"\\begin\{((?:equation|align|gather|multline|eqnarray|displaymath|math)\*?)\}(.*?)\\end\{\1\}", re.DOTALL)),
-    ("latex", re.compile(r"\$\$(.+?)\$\$", re.DOTALL)),
-    ("latex", re.compile(r"\\\[(.+?)\\\]", re.DOTALL)),
-    ("latex", re.compile(r"\\\((.+?)\\\)", re.DOTALL)),
+    ("latex", re.compile(r"\$\$(.{1,4000}?)\$\$", re.DOTALL)),
+    ("latex", re.compile(r"\\\[(.{1,4000}?)\\\]", re.DOTALL)),
+    ("latex", re.compile(r"\\\((.{1,4000}?)\\\)", re.DOTALL)),
     ("latex", re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*?[\\=^_<>+][^$\n]*?)(?<=[^\s\\])\$(?![\w$])")),
 ]
 _LATEX_HEAD = re.compile(r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\{([^{}]*)\}")
@@ -48,14 +48,15 @@ _LATEX_SPAN = re.compile(r"\\(?:[a-zA-Z]{2,})\*?(?:\[[^\]]*\])?\{([^{}]*)\}")
 _WIKI_HEAD = re.compile(r"^[ \t]*(={2,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", re.MULTILINE)
 _WIKI_NOTE = re.compile(r"\{\{[^{}]*\}\}")
 _WIKI_LINK = re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]|\[https?://\S+ ([^\]]*)\]")
-_WIKI_QUOTES = re.compile(r"(?<!')('''''|'''|'')(?=\S)(.+?)(?<=\S)\1(?!')", re.DOTALL)
-_MD_HEAD = re.compile(r"^[ ]{0,3}#{1,6}[ \t]+(.+?)[ \t]*#*[ \t]*$", re.MULTILINE)
-_SETEXT = re.compile(r"^([^\n]*[^\s\n-=][^\n]*)\n[ ]{0,3}(?:-{3,}|={3,})[ \t]*$", re.MULTILINE)
+_WIKI_QUOTES = re.compile(r"(?<!')('''''|'''|'')(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)\1(?!')", re.DOTALL)
+_SETEXT = re.compile(r"^(?![-=]+[ \t]*$)[ \t]*(\S[^\n]*)\n[ ]{0,3}(?:-{3,}|={3,})[ \t]*$", re.MULTILINE)
 _HASHES = re.compile(r"(?:^#+ +[^\n]+(?:\n|\Z))+", re.MULTILINE)
 _MD_BULLETS = re.compile(r"^[ ]{0,3}[-+][ \t]+(?=\S)", re.MULTILINE)
 _STARS = re.compile(r"^[ ]{0,3}\*+[ \t]+(?=\S)", re.MULTILINE)
 _MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\"]*\")?\)")
-_MD_SPANS = [re.compile(p, re.DOTALL) for p in (r"\*\*(?=\S)(.+?)(?<=\S)\*\*", r"(?<!\w)__(?=\S)(.+?)(?<=\S)__(?!\w)", r"~~(?=\S)(.+?)(?<=\S)~~", r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"(?<![\w_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")]
+_MD_SPANS = [re.compile(p, re.DOTALL) for p in (r"\*\*(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)\*\*", r"(?<!\w)__(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)__(?!\w)", r"~~(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)~~", r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"(?<![\w_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")]
+#: A span of emphasis or a formula that isn't closed within a bounded stretch is no mark-up, so that unclosed marks
+#: cost no more than their number times this bound.
 _MD_CODE = re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]*?[^`])\1(?!`)")
 _MD_QUOTE = re.compile(r"^[ ]{0,3}>[ \t]+(?=\S)", re.MULTILINE)
 
