@@ -44,6 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partitions for work that is heavy on the CPU and light on bytes: three for every core, or the session's number of
+    shuffle partitions if that is more. A number that is given isn't lowered by AQE, which looks at bytes only. The keys
+    must be nearly unique, as hot ones would stay together."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
