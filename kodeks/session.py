@@ -53,6 +53,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan as it is, or spread by unique keys where its files give work to fewer than half of the cores."""
+    if 2 * df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return spread(df, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
