@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kodeks.session import spread
+
 # Elements of HTML.
 TAGS = "a abbr address article aside b big blockquote body br button caption center cite code col colgroup dd del details dfn div dl dt em fieldset figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main mark menu meta nav ol option p param pre q s samp script section select small span strike strong style sub summary sup table tbody td textarea tfoot th thead time title tr tt u ul var"
 _NAMES = "|".join(sorted(TAGS.split(), key=len, reverse=True))
@@ -209,6 +211,10 @@ def _once(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(key, F.explode(parts).alias("p")).select(key, "p.field", "p.text").where("length(text) > 0").distinct()
 
 
+def _shared(df: DataFrame, key: str) -> DataFrame:
+    return spread(_once(df, key, FIELDS), key, "field", "text")
+
+
 FIELDS = {"question": "question_content", "answer": "answer_content"}
 
 
@@ -221,7 +227,7 @@ def markup_kinds(df: DataFrame, key: str = "nro") -> DataFrame:
             rows = [(k, f, *x) for k, f, t in zip(b[key], b["field"], b["text"], strict=True) for x in sorted(parse(t).kinds)]
             yield pd.DataFrame(rows, columns=[key, "field", "markup", "element"])
 
-    return _once(df, key, FIELDS).mapInPandas(run, f"{key} {kind}, field string, markup string, element string").distinct()
+    return _shared(df, key).mapInPandas(run, f"{key} {kind}, field string, markup string, element string").distinct()
 
 
 def clean_texts(df: DataFrame, key: str = "nro") -> DataFrame:
@@ -233,4 +239,4 @@ def clean_texts(df: DataFrame, key: str = "nro") -> DataFrame:
         for b in batches:
             yield b.assign(text=[parse(t).text for t in b["text"]])[[key, "field", "text"]]
 
-    return _once(df, key, FIELDS).mapInPandas(run, f"{key} {kind}, field string, text string")
+    return _shared(df, key).mapInPandas(run, f"{key} {kind}, field string, text string")
