@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kodeks.session import cut
+from kodeks.session import cut, spread_scan
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how byte-level BPE splits text before merging.
@@ -42,7 +42,8 @@ def token_counts(docs: DataFrame, key: str, text: str, tokenizer: str = TOKENIZE
         for b in batches:
             yield pd.DataFrame({"key_": b["key_"], "tokens": [len(e.encode_ordinary(t)) for t in b["text_"]]})
 
-    return docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0").mapInPandas(run, f"key_ {kind}, tokens long").withColumnRenamed("key_", key)
+    texts = docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0")
+    return spread_scan(texts, "key_").mapInPandas(run, f"key_ {kind}, tokens long").withColumnRenamed("key_", key)
 
 
 class TournamentTree:

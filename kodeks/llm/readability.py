@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kodeks.llm.language import LanguageModel
+from kodeks.session import spread_scan
 
 #: Bounds of the fitting sample: rated documents, and sentences of each.
 MOST_DOCUMENTS, MOST_SENTENCES = 1500, 12
@@ -179,7 +180,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, most: int = MOST_DOCUMENTS
 
 def reading_levels(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, level) of every document with a non-blank Polish text. Null, blank and letterless texts and texts in another
-    language get no row. Documents are read once and aren't shuffled. Without any rating there is nothing to learn
+    language get no row. Documents are read once and moved by their id at most. Without any rating there is nothing to learn
     from and no row comes out."""
     rated = rated_sample(docs, ratings)
     kind = dict(docs.dtypes)[key]
@@ -199,4 +200,4 @@ def reading_levels(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", tex
                 keep = [x is not None for x in got]
                 yield pd.DataFrame({"key_": part["key_"][keep], "level": [x for x in got if x is not None]})
 
-    return pairs.mapInPandas(run, schema).withColumnRenamed("key_", key)
+    return spread_scan(pairs, "key_").mapInPandas(run, schema).withColumnRenamed("key_", key)
