@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from kodeks.functions.normal import MONTHS
 from kodeks.llm.skeleton import consistent
+from kodeks.session import spread
 
 # Words around a title that don't tell which statute is meant.
 GENERIC = "ustawa ustawy ustawie ustawe ust u art par paragraf pkt poz lit nr z ze zm r dn dnia roku w na mocy zob zobacz por patrz zgodnie jw ww j dalej tekst jednolity tj t przedmiotowa przedmiotowej cytowana powolana powyzsza niniejsza wskazana ta sama tamze tam ibidem zmian zmianami pozniejszymi pozn dz dziennik o cyt op".split()
@@ -254,6 +255,13 @@ class Matcher:
         return entries[0].eli if len(entries) == 1 else ""
 
 
+@lru_cache(2)
+def _matcher(entries: tuple) -> tuple[Matcher, Callable]:
+    """Tries and memory of a worker process, kept from task to task."""
+    m = Matcher(Catalogue.of(list(entries)))
+    return m, lru_cache(1 << 16)(m.match)
+
+
 def map_titles(df: DataFrame, key: str, catalogue: DataFrame, most_entries: int = 200_000) -> DataFrame:
     """key and eli, one row per key: the entry of ``catalogue`` (eli, tytul, skrot) that tytul and skrot mean, '' where
     there is none or it can't be told. Null and empty titles are told by skrot alone. Of rows with the same key the
@@ -261,14 +269,13 @@ def map_titles(df: DataFrame, key: str, catalogue: DataFrame, most_entries: int
     rows = catalogue.select("eli", "tytul", "skrot").limit(most_entries + 1).collect()
     if len(rows) > most_entries:
         raise ValueError(f"the reference list has over {most_entries} entries; it would not fit every worker")
-    entries = [tuple(r) for r in rows]
+    entries = tuple(tuple(r) for r in rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = Matcher(Catalogue.of(entries))
-        match = lru_cache(1 << 16)(m.match)
+        _, match = _matcher(entries)
         for b in batches:
             yield pd.DataFrame({"key_": b["key_"], "eli": [match(t, s) for t, s in zip(b["tytul"], b["skrot"], strict=True)]})
 
     kind = dict(df.dtypes)[key]
     one = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key_")).agg(F.min(F.struct("tytul", "skrot")).alias("v")).select("key_", "v.tytul", "v.skrot")
-    return one.mapInPandas(run, f"key_ {kind}, eli string").withColumnRenamed("key_", key)
+    return spread(one, "key_").mapInPandas(run, f"key_ {kind}, eli string").withColumnRenamed("key_", key)
