@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kodeks.session import spread_scan
+
 WINDOW, RADIUS, BITS = 8, 3, 64  # the window is the largest power of two that light changes leave whole
 SLICE = 100_000  # windows fingerprinted at a time
 PART = 500_000  # letters of text searched at a time, a longer text by itself
@@ -258,7 +260,7 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, share: float =
 
     A stretch is a candidate where windows within the Hamming radius cover ``evidence`` of the item's words. Null and
     empty texts hold nothing; items of fewer than WINDOW words can't be searched. The items (their number is checked)
-    go to every worker; documents are read once and never shuffled, so no document, key or source can be hot.
+    go to every worker; documents are read once and moved by their id at most, so no key or source can be hot.
     """
     rows = [(r[0], r[1]) for r in items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["item_id"]).orderBy("item_id").limit(most_items + 1).collect()]
     if len(rows) > most_items:
@@ -276,5 +278,6 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, share: float =
                 got = finder.find(texts[at : int(np.searchsorted(ends, part, side="right"))])
                 yield pd.DataFrame([(ids[at + g[0]], *g[1:]) for g in got], columns=["key_", "item_id", "first_word", "last_word", "similarity"])
 
-    found = docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0").mapInPandas(run, f"key_ {kind}, item_id bigint, first_word int, last_word int, similarity double")
+    found = docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0")
+    found = spread_scan(found, "key_").mapInPandas(run, f"key_ {kind}, item_id bigint, first_word int, last_word int, similarity double")
     return found.withColumnRenamed("key_", key)
