@@ -39,7 +39,8 @@ COURTESIES = [
 # Greetings before the text proper.
 SALUTATION = re.compile(r"^\s*(?:szanown[a-z]+ (?:pani[a-z]*|panie|pan|państwo)(?: [a-zł]+)?|dzień dobry|witam(?: serdecznie| państwa)?|drog[a-z]+ (?:pani[a-z]*|panie|państwo)|dobry wieczór)\s*[,!.]?\s*", re.IGNORECASE)
 _ABBREVIATED = re.compile(r"(?:^|[\s(])(?:art|ust|pkt|poz|nr|lit|par|z dn|tj|m\.in|np|por|zob|tzw|ok|ww|św|im|ul|godz|str|s|t|rozdz|dz\. u)\.$", re.IGNORECASE)
-_TERMINAL = re.compile(r"[.!?…:;][\"”’')\]»*_]*$")
+_TERMINAL = re.compile(r"[.!?][\"”’')\]»*_]*$")
+_ELLIPSIS = re.compile(r"[(\[]?\s*(?:…|\.{3,})[.…\s\"”’')\]»*_]*$")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"”’')\]]*\s+(?=[^\sa-ząćęłńóśźż])|\n+")
 _DECLINES, _COURTESIES = re.compile("|".join(DECLINES)), re.compile("|".join(COURTESIES))
 _WORD = re.compile(r"[^\W_]+")
@@ -60,6 +61,14 @@ def sentences(text: str) -> list[str]:
     return out
 
 
+def before_ellipsis(text: str) -> str:
+    """The text without an ellipsis at its end and the bracket opened for it: it closes no sentence, what stands before
+    it may."""
+    while (t := _ELLIPSIS.sub("", text).rstrip()) != text:
+        text = t
+    return text
+
+
 def is_filler(text: str) -> bool:
     """Nothing but blanks, signs or a filler."""
     return "".join(folded(text)) in FILLERS or " ".join(folded(text)) in FILLERS
@@ -124,7 +133,7 @@ def ending_counts(texts: Iterator[str], orders: tuple[int, ...] = (1, 2, 3)) ->
     c: Counter = Counter()
     for t in texts:
         for s in sentences(t):
-            closed = bool(re.search(r"[.!?…][\"”’')\]]*$", s)) and not _ABBREVIATED.search(s)
+            closed = bool(re.search(r"[.!?][\"”’')\]]*$", s)) and not _ELLIPSIS.search(s) and not _ABBREVIATED.search(s)
             w = folded(s)
             for n in orders:
                 for k in range(n, len(w)):
@@ -173,11 +182,12 @@ def defects(df: DataFrame, key: str = "nro", least_end: float = 0.02) -> DataFra
                 elif a and is_foreign(model, q, a):
                     defect = "other_language"
                 elif a and not is_open:
-                    last = a.rstrip("\"”’')]»*_ ")
+                    t = before_ellipsis(a.rstrip())
+                    last = t.rstrip("\"”’')]»*_ ")
                     if _ABBREVIATED.search(last):
                         defect = "truncated"
-                    elif not _TERMINAL.search(a):
-                        w = folded(sentences(a)[-1])
+                    elif not _TERMINAL.search(t):
+                        w = folded((sentences(t) or [""])[-1])
                         keys = [end_key(w, n) if len(w) >= n else None for n in (1, 2, 3)]
                         if not w or last.endswith((",", "-", "–", "(")):
                             defect, keys = "truncated", [None, None, None]

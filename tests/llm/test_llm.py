@@ -33,6 +33,16 @@ def test_pair_defects(spark):
     assert pairs.defects(qdf(spark, [])).count() == 0
 
 
+def test_ellipsis_closes_no_answer(spark):
+    text = "Od {} maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. Organ prowadzi spis na podstawie protokołu oględzin."
+    rows = [(100 + i, QUESTION, text.format(i)) for i in range(8)]
+    sound = ["Od 3 maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność…", "Od 3 maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. (…)", "Organ prowadzi spis na podstawie protokołu oględzin:"]
+    cut = ["Od 3 maja starosta prowadzi rejestr zaw…", "Od 3 maja starosta prowadzi rejestr mostów, gdyż (…", "Od 3 maja starosta prowadzi rejestr ...", "Od 3 maja starosta prowadzi rejestr mostów, gdyż [...]", "Organ prowadzi spis na podstawie art. …", "Od 3 maja starosta prowadzi rejestr mostów, gdyż stary:"]
+    rows += [(i, QUESTION, t) for i, t in enumerate(sound)] + [(10 + i, QUESTION, t) for i, t in enumerate(cut)]
+    got = {r.nro: r.defect for r in pairs.defects(qdf(spark, rows)).collect()}
+    assert got == {10 + i: "truncated" for i in range(len(cut))}
+
+
 def test_language_model_on_held_out_sentences():
     m = language.LanguageModel()
     for lang, text in {"pl": "Rada sołecka ogłasza wykaz stawów rybnych.", "en": "The fish pond must be insured before winter.", "de": "Der Fischteich wird von der Gemeinde verpachtet.", "cs": "Obec musí rybník pojistit před zimou, jinak zaplatí pokutu.", "uk": "Громада повинна застрахувати ставок до зими."}.items():
