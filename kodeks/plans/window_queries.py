@@ -149,6 +149,15 @@ def char_interp(spark, sf):
     return x.select("page_id", "line_no", "start_x", F.explode(F.sequence(F.lit(0), F.length("text") - 1)).alias("k")).select("page_id", "line_no", F.col("k").cast("long").alias("char_no"), (F.col("start_x") + F.col("k") * F.lit(5.5)).alias("x"))
 
 
+@query(f"SELECT page_id, line_no, k - 1 AS char_no, start_x + (k - 1) * w AS x FROM (SELECT page_id, line_no, start_x, (end_x - start_x) / length(text) AS w, unnest(generate_series(1, length(text))) AS k FROM (SELECT DISTINCT page_id, line_no, l.start_x AS start_x, l.end_x AS end_x, l.text AS text FROM (SELECT page_id, unnest(page.paragraph_lines) AS l, generate_subscripts(page.paragraph_lines, 1) - 1 AS line_no FROM act_pages) WHERE length(l.text) > 0))")
+def char_interp_lines(spark, sf):
+    """Characters of every paragraph line, spread evenly from its start to its end. char_interp has the first line of
+    each page only, at a fixed width, as its SQL does."""
+    x = table(spark, sf, "act_pages").select("page_id", F.posexplode("page.paragraph_lines").alias("line_no", "l")).select("page_id", F.col("line_no").cast("long").alias("line_no"), "l.start_x", "l.end_x", "l.text").where("length(text) > 0").distinct()
+    x = x.select("page_id", "line_no", "start_x", ((F.col("end_x") - F.col("start_x")) / F.length("text")).alias("w"), F.explode(F.sequence(F.lit(0), F.length("text") - 1)).alias("k"))
+    return x.select("page_id", "line_no", F.col("k").cast("long").alias("char_no"), (F.col("start_x") + F.col("k") * F.col("w")).alias("x"))
+
+
 @query(f"SELECT page_id, string_agg(text, chr(10) ORDER BY line_no) AS page_text FROM {_P} WHERE text IS NOT NULL GROUP BY page_id")
 def page_concat(spark, sf):
     p = table(spark, sf, "act_pages").select("page_id", F.filter(F.transform("page.paragraph_lines", lambda x: x["text"]), lambda t: t.isNotNull()).alias("t")).where("size(t) > 0")

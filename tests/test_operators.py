@@ -157,3 +157,13 @@ def test_retry_and_dead_letters(spark):
 
     got = {r.k: (r.status, r.attempts) for r in run_rows(spark.range(4).withColumnRenamed("id", "k"), "k", work, 3, 0).collect()}
     assert got == {0: ("success", 1), 1: ("failed", 3), 2: ("success", 2), 3: ("success", 1)}
+
+
+def test_characters_of_every_line(spark, data):
+    import __spark_entry__ as entry
+
+    pages = spark.read.parquet(f"{data}/act_pages.parquet").select("page_id", "page.paragraph_lines").collect()
+    want = {(p.page_id, n, k): line.start_x + k * (line.end_x - line.start_x) / len(line.text) for p in pages for n, line in enumerate(p.paragraph_lines or []) if line and line.text for k in range(len(line.text))}
+    rows = entry.queries()["char_interp_lines"](spark, data).collect()
+    got = {(r.page_id, r.line_no, r.char_no): r.x for r in rows}
+    assert len(rows) == len(got) and got == pytest.approx(want) and any(n > 0 for _, n, _ in got)
