@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -86,6 +85,21 @@ def is_refusal(text: str) -> bool:
     return declined
 
 
+def common_length(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, exact at every length: a bit for each word of ``a``, a step for each of
+    ``b`` (Hyyrö's bit-parallel algorithm)."""
+    bits: dict[str, int] = {}
+    for i, x in enumerate(a):
+        bits[x] = bits.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for x in b:
+        if m := bits.get(x):
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
+
+
 def says_no_more(question: str, answer: str) -> bool:
     """The answer's words stand in the question, in order, but for a tenth of them: a copy, perhaps altered, shortened
     or labelled."""
@@ -99,12 +113,7 @@ def says_no_more(question: str, answer: str) -> bool:
         return False
     if q == w:
         return True
-    if len(q) * len(w) > 1_000_000:  # of long texts pairs of neighbours are compared instead of whole sequences
-        two = lambda x: Counter(zip(x, x[1:]))
-        return sum((two(w) - two(q)).values()) <= len(w) // 8
-    m = SequenceMatcher(None, q, w, autojunk=False)
-    same = sum(x.size for x in m.get_matching_blocks())
-    return len(w) - same <= max(1, len(w) // 8)
+    return len(w) - common_length(q, w) <= max(1, len(w) // 8)
 
 
 def is_foreign(model: LanguageModel, question: str, answer: str) -> bool:

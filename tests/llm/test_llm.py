@@ -33,6 +33,25 @@ def test_pair_defects(spark):
     assert pairs.defects(qdf(spark, [])).count() == 0
 
 
+def test_long_copies_are_judged_like_short_ones():
+    rnd = random.Random(3)
+    for _ in range(200):
+        a, b = ([rnd.choice("abcd") for _ in range(rnd.randrange(30))] for _ in "12")
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+        assert pairs.common_length(a, b) == row[-1]
+    letters = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(9))
+    for n in (90, 1100, 20_000):
+        q = [letters() for _ in range(n)]
+        assert pairs.says_no_more(" ".join(q), " ".join(letters() if i % 10 == 5 else w for i, w in enumerate(q)))
+        blocks = [q[i : i + 20] for i in range(0, n, 20)]
+        assert not pairs.says_no_more(" ".join(q), " ".join(w for b in blocks[::-1] for w in b))
+
+
 def test_ellipsis_closes_no_answer(spark):
     text = "Od {} maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. Organ prowadzi spis na podstawie protokołu oględzin."
     rows = [(100 + i, QUESTION, text.format(i)) for i in range(8)]
