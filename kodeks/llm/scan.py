@@ -120,9 +120,71 @@ def _corrections(rare: DataFrame, lexicon: DataFrame, ratio: int) -> DataFrame:
     return ok.groupBy("word").agg(F.max_by("right", F.struct(-F.col("k_"), "m", "right")).alias("right"))
 
 
+def _halves(body: DataFrame, tokens: DataFrame, over: DataFrame) -> DataFrame:
+    """Corrections of broken words: page_id, area, line_no, at, wrong, right for the half before the break and the half
+    after it, which stands first in the next line or on the next page. A half that isn't found where it should stand
+    leaves both as they are; a word that nothing continues is one half."""
+    w = Window.partitionBy("page_id", "area").orderBy("line_no")
+    body = body.select(*_KEYS, "eli", "invoke_id", "page_number", F.lead("line_no").over(w).alias("next_"), F.row_number().over(w).alias("here_"))
+    tops = body.where("here_ = 1").groupBy("eli", "invoke_id", (F.col("page_number") - 1).alias("page_number"), "area").agg(F.min_by(F.struct("page_id", "line_no"), "page_id").alias("top_"))
+    place = body.join(tops, ["eli", "invoke_id", "page_number", "area"], "left").select(*_KEYS, F.coalesce(F.when(F.col("next_").isNotNull(), F.struct("page_id", F.col("next_").alias("line_no"))), "top_").alias("to_"))
+    tail, head, right = F.col("tail"), F.col("head"), F.col("right")
+    at = F.when(F.startswith(right, tail), F.length(tail)).when(F.endswith(right, head), F.length(right) - F.length(head)).otherwise(F.least(F.length(tail), F.length(right) - 1))
+    split = over.where("right IS NOT NULL").join(place, _KEYS, "left").withColumn("cut_", F.when(head.isNull(), F.length(right)).otherwise(at))
+    first = tokens.where("at = 0").select(F.struct("page_id", "line_no").alias("to_"), "area", F.col("word").alias("head"), F.lit(True).alias("found_")).distinct()
+    split = split.join(first, ["to_", "area", "head"], "left").where("head IS NULL OR found_")
+    before = split.select(*_KEYS, "at", tail.alias("wrong"), F.substring("right", F.lit(1), F.col("cut_")).alias("right"))
+    after = split.where("head IS NOT NULL").select("to_.page_id", "area", "to_.line_no", F.lit(0).alias("at"), head.alias("wrong"), F.substring("right", F.col("cut_") + 1, F.length("right")).alias("right"))
+    return before.unionByName(after).where("wrong <> right")
+
+
+def _cased(right: Column, like: Column) -> Column:
+    """``right`` in the case of ``like``: upper case, a capital first, or as it is."""
+    capitals, small = F.length(F.regexp_replace(like, r"\P{Lu}", "")), F.length(F.regexp_replace(like, r"\P{Ll}", ""))
+    first = F.concat(F.upper(F.substring(right, 1, 1)), F.substring(right, F.lit(2), F.length(right)))
+    return F.when((capitals > 1) & (capitals > small), F.upper(right)).when(like.rlike(r"^\p{Lu}"), first).otherwise(right)
+
+
+def _corrected(text: Column, fixes: Column) -> Column:
+    """The line with the words at the places of ``fixes`` replaced; case, blanks and outer punctuation stay."""
+    def one(piece: Column, i: Column) -> Column:
+        word = F.regexp_replace(piece, _STRIP, "")
+        fix = F.get(F.filter(fixes, lambda x: (x["at"] == i) & (x["wrong"] == F.lower(word))), 0)["right"]
+        before = F.length(F.regexp_extract(piece, r"^[^\p{L}\p{N}!@†$€]*", 0))
+        after = F.substring(piece, before + F.length(word) + 1, F.length(piece))
+        return F.when(fix.isNull(), piece).otherwise(F.concat(F.substring(piece, F.lit(1), before), _cased(fix, word), after))
+
+    return F.when(fixes.isNull(), F.trim(text)).otherwise(F.array_join(F.transform(F.split(F.trim(text), r"(?<=\s)(?=\S)"), one), ""))
+
+
+def _chained(areas: DataFrame, block: int = 256) -> DataFrame:
+    """Areas whose last word goes on joined with the same area of the next page, page by page. Where a chain begins is
+    carried from block to block of an act's pages, so no window holds an act; of pages with one number the first goes on."""
+    act = ["eli", "invoke_id", "area"]
+    keys = [*act, "page_number"]
+    main = areas.where("page_number IS NOT NULL").groupBy(*keys).agg(F.min("page_id").alias("main_"))
+    areas = areas.alias("a").join(main.alias("b"), F.expr(" AND ".join(f"a.{c} <=> b.{c}" for c in keys)) & (F.col("a.page_id") == F.col("b.main_")), "left").select("a.*", F.col("main_").isNotNull().alias("is_main_"))
+    flow, alone = areas.where("is_main_").drop("is_main_"), areas.where("NOT is_main_").drop("is_main_")
+    open_ = flow.where("open_end").select(*act, (F.col("page_number") + 1).alias("page_number"))
+    on = F.expr(" AND ".join(f"a.{c} <=> b.{c}" for c in keys))
+    flow = flow.alias("a").join(open_.withColumn("goes_on_", F.lit(True)).alias("b"), on, "left").select("a.*", F.when(F.col("b.goes_on_").isNull(), F.col("a.page_number")).alias("head_"), F.floor(F.col("a.page_number") / block).alias("block_"))
+    last = flow.groupBy(*act, "block_").agg(F.max("head_").alias("last_"))
+    last = last.select(*act, "block_", F.max("last_").over(Window.partitionBy(*act).orderBy("block_").rowsBetween(Window.unboundedPreceding, -1)).alias("carried_"))
+    within = Window.partitionBy(*act, "block_").orderBy("page_number").rowsBetween(Window.unboundedPreceding, 0)
+    by = F.expr(" AND ".join(f"a.{c} <=> b.{c}" for c in [*act, "block_"]))
+    flow = flow.withColumn("start_", F.max("head_").over(within)).alias("a").join(last.alias("b"), by).select("a.*", F.coalesce("a.start_", "b.carried_").alias("chain_"))
+    xs = F.array_sort(F.collect_list(F.struct("page_number", "page_id", "text", "open_end"))).alias("xs")
+    chains = flow.groupBy(*act, "chain_").agg(xs)
+    x0 = F.element_at("xs", 1)
+    text = F.array_join(F.transform("xs", lambda x: x["text"]), "")
+    chains = chains.select(x0["page_id"].alias("page_id"), "eli", "invoke_id", x0["page_number"].alias("page_number"), F.element_at("xs", -1)["page_number"].alias("last_page"), "area", text.alias("text"), x0["open_end"].alias("open_end"))
+    return chains.unionByName(alone.withColumn("last_page", F.col("page_number")))
+
+
 def find_noise(pages: DataFrame, ratio: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(classified lines, noise, corrections). noise: page_id, area, line_no, noise with one row per line and kind;
-    corrections: page_id, area, line_no, wrong, right for the misread words that a frequent word explains.
+    corrections: page_id, area, line_no, at, wrong, right for the misread words that a frequent word explains, at their
+    place in the line; a broken word's correction is split over its two halves.
 
     Words are counted before they are shuffled, so frequent words aren't hot; lines of an act meet only by page. An
     empty table gives no rows.
@@ -149,7 +211,7 @@ def find_noise(pages: DataFrame, ratio: int = 5) -> tuple[DataFrame, DataFrame,
     ends = ends.withColumn("hyphenation", continues & ~is_compound)
 
     # misread words, of lines and of words joined over lines
-    whole = ends.where("hyphenation").select(*_KEYS, "tail", "head", F.col("joined").alias("word"))
+    whole = ends.where("hyphenation").select(*_KEYS, "at", "tail", "head", F.col("joined").alias("word"))
     loose = lexicon.unionByName(whole.groupBy("word").agg(F.lit(0).cast("long").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))
     rare = loose.select("word", F.greatest("n", F.lit(1)).alias("n"))
     fixes = _corrections(rare, lexicon, ratio)
@@ -161,27 +223,30 @@ def find_noise(pages: DataFrame, ratio: int = 5) -> tuple[DataFrame, DataFrame,
     # the first word of a continuation is judged with the word it ends
     nextline = rows.where("edge IS NULL").select(*_KEYS, F.lag("line_no").over(Window.partitionBy("page_id", "area").orderBy("line_no")).alias("l_"))
     taken = nextline.join(continued, ["page_id", "area", "l_"]).select(*_KEYS, F.lit(0).alias("at"))
-    plain = plain.join(taken, [*_KEYS, "at"], "left_anti").drop("at")
+    plain = plain.join(taken, [*_KEYS, "at"], "left_anti")
     over = whole.join(wrong, "word")
     in_tail = ~F.coalesce(F.startswith(F.col("right"), F.col("tail")), F.col("head").isNull() | F.col("tail").rlike(r"[!@†$€]|\d"))
     in_head = ~F.coalesce(F.endswith(F.col("right"), F.col("head")), ~F.col("head").rlike(r"[!@†$€]|\d"))
     tails = over.where(in_tail | F.col("right").isNull() & F.col("tail").rlike(r"[!@†$€]|\p{L}\d")).select(*_KEYS, F.col("tail").alias("wrong"), F.col("right"))
     heads_wrong = over.where(in_head & ~in_tail).select("page_id", "area", F.col("line_no").alias("l_"), F.col("head").alias("wrong"), F.col("right"))
     heads_wrong = heads_wrong.join(nextline, ["page_id", "area", "l_"]).select(*_KEYS, "wrong", "right")
-    misread = plain.unionByName(tails).unionByName(heads_wrong)
+    misread = plain.select(*_KEYS).unionByName(tails.select(*_KEYS)).unionByName(heads_wrong.select(*_KEYS))
+    fixes = plain.where("right IS NOT NULL").select(*_KEYS, "at", "wrong", "right").unionByName(_halves(body, tokens, over))
     kind = lambda df, k: df.select(*_KEYS, F.lit(k).alias("noise"))
     noise = kind(ends.where("hyphenation"), "hyphenation").unionByName(kind(misread, "misread")).distinct().unionByName(rows.where("edge IS NOT NULL").select(*_KEYS, F.col("edge").alias("noise")))
-    return rows, noise, misread
+    return rows, noise, fixes
 
 
 def repaired(pages: DataFrame) -> DataFrame:
-    """Continuous text of every area of a page: headers and page numbers gone, broken words joined, misread words of a
-    line replaced by their correction. ``open_end`` says that the last word goes on on the next page."""
-    rows, noise, misread = find_noise(pages)
-    fixes = misread.where("right IS NOT NULL").groupBy(*_KEYS).agg(F.array_sort(F.collect_set(F.struct("wrong", "right"))).alias("fixes"))
+    """Continuous text of the areas: headers and page numbers gone, broken words joined, misread words replaced by their
+    correction at their place. An area whose last word goes on on the next page has the text of that page too, up to
+    ``last_page``; ``open_end`` says that it ran over its page, and with last_page = page_number that nothing continues it."""
+    rows, noise, corrections = find_noise(pages)
+    fixes = corrections.groupBy(*_KEYS).agg(F.collect_set(F.struct("at", "wrong", "right")).alias("fixes"))
     joins = noise.where("noise = 'hyphenation'").select(*_KEYS, F.lit(True).alias("joins"))
     body = rows.where("edge IS NULL").join(fixes, _KEYS, "left").join(joins, _KEYS, "left")
-    fixed = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<wrong:string,right:string>>")), F.trim("text"), lambda t, x: F.replace(t, x["wrong"], x["right"]))
+    fixed = _corrected(F.col("text"), F.col("fixes"))
     piece = F.when(F.col("joins"), F.regexp_replace(fixed, rf"[{BREAKS}]\s*$", "")).otherwise(F.concat(fixed, F.lit(" ")))
     got = body.select("page_id", "eli", "invoke_id", "page_number", "area", F.struct("line_no", piece.alias("t"), F.coalesce("joins", F.lit(False)).alias("j")).alias("x"))
-    return got.groupBy("page_id", "area").agg(F.first("eli").alias("eli"), F.first("invoke_id").alias("invoke_id"), F.first("page_number").alias("page_number"), F.array_sort(F.collect_list("x")).alias("xs")).select("page_id", "eli", "invoke_id", "page_number", "area", F.trim(F.array_join(F.transform("xs", lambda x: x["t"]), "")).alias("text"), F.element_at("xs", -1)["j"].alias("open_end"))
+    areas = got.groupBy("page_id", "area").agg(F.first("eli").alias("eli"), F.first("invoke_id").alias("invoke_id"), F.first("page_number").alias("page_number"), F.array_sort(F.collect_list("x")).alias("xs")).select("page_id", "eli", "invoke_id", "page_number", "area", F.trim(F.array_join(F.transform("xs", lambda x: x["t"]), "")).alias("text"), F.element_at("xs", -1)["j"].alias("open_end"))
+    return _chained(cut(areas))

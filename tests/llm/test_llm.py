@@ -205,6 +205,25 @@ def test_scan_noise(spark):
     assert scan.find_noise(df.limit(0))[1].count() == 0
 
 
+def test_repaired_text_is_whole(spark):
+    body = ["starosta prowadzi rejestr młynów wodnych, dokument rejestr młynów dokument"] * 12
+    rows = [(n, "A", 2 * n, body, None, None) for n in range(1, 4)]
+    rows += [(20, "B", 1, ["Rejcstr młynów. REJCSTR, (rejcstr)  nie-rejcstrów; dok-", "umcnt wodnych doku-"], None, []), (21, "B", 2, ["mcnt starosta pro-"], None, None), (22, "B", 3, ["wadzi rejestr. Koniec"], None, None), (23, "B", 5, ["młynów"], None, None)]
+    df = pages(spark, rows)
+    got = {(r.page_id, r.area): (r.text, r.open_end, r.page_number, r.last_page) for r in scan.repaired(df).collect() if r.page_id >= 20}
+    assert got == {
+        (20, "paragraph"): ("Rejestr młynów. REJESTR, (rejestr)  nie-rejcstrów; dokument wodnych dokument starosta prowadzi rejestr. Koniec", True, 1, 3),
+        (23, "paragraph"): ("młynów", False, 5, 5),
+    }
+
+
+def test_chains_cross_blocks(spark):
+    data = [(n, "A", "i", n, "paragraph", f"{n};", n not in (3, 9)) for n in range(1, 13)] + [(90, "A", "i", 5, "paragraph", "x", True)]
+    df = spark.createDataFrame(data, "page_id long, eli string, invoke_id string, page_number int, area string, text string, open_end boolean")
+    got = {(r.page_id, r.text, r.last_page) for r in scan._chained(df, block=2).collect()}
+    assert got == {(1, "1;2;3;", 3), (4, "4;5;6;7;8;9;", 9), (10, "10;11;12;", 12), (90, "x", 5)}
+
+
 def test_anagram_hash(spark):
     words = ["młyn", "nmył", "dokumen†ację", "", "vv"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
