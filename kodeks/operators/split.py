@@ -33,6 +33,48 @@ def split_units(df: DataFrame, keys: list[str], text: str, level: str) -> DataFr
     return parts.select(*keys, "unit_no", F.nullif(F.regexp_extract("unit_text", ident, 1), F.lit("")).alias("unit_id"), start.alias("start_at"), "unit_text")
 
 
+def unit_bodies(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """One row per article, section and point: keys, article_no, section_no, point_no, article, section, point, level,
+    unit_id, body. The body runs from behind the identifier up to the first child, null where a child follows at once.
+    What stands before the first article or section is no unit, but its sections and points are."""
+    def rest(level: str):
+        found = F.col("unit_id").isNotNull()
+        return F.when(found, F.regexp_replace("unit_text", HEADS[level][1] + r"\s*", "")).otherwise(F.col("unit_text"))
+
+    def body(*children: str):
+        heads = "|".join(HEADS[c][0] for c in children)
+        starts = "|".join(f"(?:{HEADS[c][1]})" for c in children)
+        first = F.get(F.split("rest_", heads, 2), 0)
+        return F.when(~F.coalesce(first.rlike(starts), F.lit(False)) & (first != ""), first)
+
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("int")
+    out = ["article_no", "section_no", "point_no", "article", "section", "point", "level", "unit_id", "body"]
+    arts = split_units(df, keys, text, "article").withColumn("rest_", rest("article")).select(*keys, F.col("unit_no").alias("article_no"), F.col("unit_id").alias("article"), "rest_")
+    at = [*keys, "article_no", "article"]
+    secs = split_units(arts, at, "rest_", "section").withColumn("rest_", rest("section")).select(*at, F.col("unit_no").alias("section_no"), F.col("unit_id").alias("section"), "rest_")
+    at = [*at, "section_no", "section"]
+    points = split_units(secs, at, "rest_", "point").withColumn("rest_", rest("point")).select(*at, F.col("unit_no").alias("point_no"), F.col("unit_id").alias("point"), "rest_")
+    a = arts.where("article IS NOT NULL").withColumns({"section_no": number, "point_no": number, "section": none, "point": none, "level": F.lit("article"), "unit_id": F.col("article"), "body": body("section", "point")})
+    s = secs.where("section IS NOT NULL").withColumns({"point_no": number, "point": none, "level": F.lit("section"), "unit_id": F.col("section"), "body": body("point")})
+    p = points.where("point IS NOT NULL").withColumns({"level": F.lit("point"), "unit_id": F.col("point"), "body": F.nullif("rest_", F.lit(""))})
+    return a.select(*keys, *out).unionByName(s.select(*keys, *out)).unionByName(p.select(*keys, *out))
+
+
+def select_units(units: DataFrame, keys: list[str], order: str, wanted: DataFrame) -> DataFrame:
+    """Units named by ``ids`` of ``wanted`` (keys, ids): one id gives the first unit that has it, two give all from the
+    first with the start id to the next with the end id, by position. keys, ids, order, unit_id, error; a start or an
+    end that isn't there, or another number of ids, gives one row with an error and no unit."""
+    wanted = wanted.select(*keys, "ids").distinct()
+    hits = wanted.where("size(ids) IN (1, 2)").join(units.select(*keys, order, "unit_id"), keys)
+    start = hits.where("unit_id = ids[0]").groupBy(*keys, "ids").agg(F.min(order).alias("start_"))
+    end = hits.join(start, [*keys, "ids"]).where((F.col(order) >= F.col("start_")) & (F.col("unit_id") == F.element_at("ids", -1))).groupBy(*keys, "ids").agg(F.min(order).alias("end_"))
+    asked = wanted.join(start, [*keys, "ids"], "left").join(end, [*keys, "ids"], "left")
+    n = F.coalesce(F.size("ids"), F.lit(0))
+    asked = asked.withColumn("error", F.when(~n.isin(1, 2), "bad_arity").when(F.col("start_").isNull(), F.when(n == 1, "not_found").otherwise("start_not_found")).when(F.col("end_").isNull(), "end_not_found"))
+    found = asked.where("error IS NULL").join(units.select(*keys, order, "unit_id"), keys).where(F.col(order).between(F.col("start_"), F.col("end_"))).select(*keys, "ids", order, "unit_id", "error")
+    return found.unionByName(asked.where("error IS NOT NULL").select(*keys, "ids", "error"), allowMissingColumns=True)
+
+
 def change_segments(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Stretches of a text by the state of its wording: [..] holds until a change, <..> after it, the rest in any case.
     keys, seg_no, status, segment (without its brackets)."""

@@ -192,4 +192,23 @@ def id_and_body(spark, sf):
     return p.select("page_id", F.regexp_extract("t", r"^Art\. (\d+[a-z]*)\.", 1).alias("unit_id"), F.regexp_replace("t", r"^Art\. \d+[a-z]*\.\s*", "").alias("body"))
 
 
+@query()
+def unit_bodies(spark, sf):
+    """Identifier and body of every article, section and point; id_and_body has the article a page begins with only."""
+    return split.unit_bodies(_page_text(spark, sf), ["page_id"], "t")
+
+
+@query()
+def unit_select(spark, sf):
+    """Articles that a resolved reference names, by start and end id or a single id; unit_range goes by fixed places."""
+    r = table(spark, sf, "llm_references").select("ref_id", "tytul", "przepisy").distinct()
+    acts = match.exact_titles(r, table(spark, sf, "act_catalog"), "ref_id").where("eli IS NOT NULL").select("ref_id", "eli").distinct()
+    pages = table(spark, sf, "act_pages").select("page_id", "eli", "invoke_id", F.col("page.page_number").alias("page_number")).dropDuplicates(["page_id"])
+    units = split.split_units(_page_text(spark, sf), ["page_id"], "t", "article").where("unit_id IS NOT NULL").join(pages, "page_id").select("eli", "invoke_id", F.struct("page_number", "page_id", "unit_no").alias("place"), "unit_id")
+    ids = r.select("ref_id", F.explode("przepisy").alias("p")).select("ref_id", T.id_range(F.col("p.artykul")).alias("ids"))
+    wanted = ids.join(acts, "ref_id").join(pages.select("eli", "invoke_id").distinct(), "eli")
+    got = split.select_units(units, ["eli", "invoke_id"], "place", wanted)
+    return got.select("eli", "invoke_id", "ids", "place.page_id", "place.unit_no", "unit_id", "error")
+
+
 QUERIES, SQL = query.queries, query.sql

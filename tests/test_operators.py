@@ -167,3 +167,31 @@ def test_characters_of_every_line(spark, data):
     rows = entry.queries()["char_interp_lines"](spark, data).collect()
     got = {(r.page_id, r.line_no, r.char_no): r.x for r in rows}
     assert len(rows) == len(got) and got == pytest.approx(want) and any(n > 0 for _, n, _ in got)
+
+
+def test_bodies_of_all_units(spark):
+    df = spark.createDataFrame([(1, STATUTE), (2, "1) ciąg dalszy;\n2. Ustęp."), (3, ""), (4, None)], "k int, t string")
+    rows = split.unit_bodies(df, ["k"], "t").orderBy("k", "article_no", "section_no", "point_no").collect()
+    assert [(r.k, r.article, r.section, r.point, r.body and r.body.strip()) for r in rows] == [
+        (1, "1", None, None, None), (1, "1", "1", None, "Ustawa określa:"), (1, "1", "1", "1", "pierwsze;"), (1, "1", "1", "2", "drugie, o którym mowa w\nart. 7 ust. 2."), (1, "1", "2", None, "Drugi ustęp."),
+        (1, "2", None, None, "(uchylony)"), (1, "2a", None, None, "[stary tekst] <nowy tekst> wspólny\nRozdział 10\nPrzepisy końcowe"), (1, "3", None, None, "Koniec."),
+        (2, None, None, "1", "ciąg dalszy;"), (2, None, "2", None, "Ustęp."),
+    ]
+
+
+def test_units_by_start_and_end_id(spark):
+    units = spark.createDataFrame([(1, i, u) for i, u in enumerate(["1", "2", "2a", "3", "2"])], "k int, place int, unit_id string")
+    wanted = spark.createDataFrame([(1, x) for x in (["2", "3"], ["2"], ["9", "3"], ["3", "1"], ["7"], ["1", "2", "3"], [], None)], "k int, ids array<string>")
+    got = {}
+    for r in split.select_units(units, ["k"], "place", wanted).collect():
+        got.setdefault(tuple(r.ids or ()), set()).add((r.place, r.unit_id, r.error))
+    error = lambda e: {(None, None, e)}
+    assert got == {("2", "3"): {(1, "2", None), (2, "2a", None), (3, "3", None)}, ("2",): {(1, "2", None)}, ("9", "3"): error("start_not_found"), ("3", "1"): error("end_not_found"), ("7",): error("not_found"), ("1", "2", "3"): error("bad_arity"), (): error("bad_arity")}
+
+
+def test_unit_queries_run(spark, data):
+    import __spark_entry__ as entry
+
+    q = entry.queries()
+    assert {r.level for r in q["unit_bodies"](spark, data).select("level").distinct().collect()} >= {"article"}
+    q["unit_select"](spark, data).collect()  # the references name no act that has pages here
