@@ -29,7 +29,7 @@ BLOCKS, BLOCK_BITS = RADIUS + 1, BITS // (RADIUS + 1)
 
 _WORD = re.compile(r"[^\W_]+")
 # Accented letters of Polish and the plain letters for them.
-_PLAIN = str.maketrans("ąćęłńóśźż", "acelnoszz")
+POLISH = str.maketrans("ąćęłńóśźż", "acelnoszz")
 
 
 _INSIDE = re.compile(r"[\u00ad\u200b-\u200d\u2060\ufeff]")
@@ -38,8 +38,8 @@ _INSIDE = re.compile(r"[\u00ad\u200b-\u200d\u2060\ufeff]")
 @lru_cache(1 << 18)
 def plain(word: str) -> str:
     """A word in lower case without accents."""
-    w = word if word.isascii() else word.translate(_PLAIN)
-    return w if w.isascii() else "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)).translate(_PLAIN)
+    w = word if word.isascii() else word.translate(POLISH)
+    return w if w.isascii() else "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)).translate(POLISH)
 
 
 def raw_words(text: str | None) -> list[str]:
