@@ -17,14 +17,14 @@ def one_space(c: Column) -> Column:
 
 
 def act_key(c: Column) -> Column:
-    """``du / 2010 / 015`` becomes ``DU/2010/15``; null or blank gives null."""
+    """``du / 2010 / 015`` becomes ``DU/2010/15``; null or blank gives null. What is spelled so already skips the patterns."""
     bare = F.upper(F.regexp_replace(c, r"(?U)[\s\p{Z}\p{Cf}]+", ""))
-    return F.nullif(F.regexp_replace(bare, r"/0+(?=\d)", "/"), F.lit(""))
+    return F.when(c.rlike(r"^[A-Z]+/[1-9][0-9]*/[1-9][0-9]*$"), c).otherwise(F.nullif(F.regexp_replace(bare, r"/0+(?=\d)", "/"), F.lit("")))
 
 
 def label(c: Column) -> Column:
     """Lower-case label with single blanks; null where it is missing or meaningless."""
-    t = F.lower(one_space(c))
+    t = F.when(c.rlike(r"^\p{Ll}+(?: \p{Ll}+)*$"), c).otherwise(F.lower(one_space(c)))
     return F.when(t.isin(FILLERS) | ~t.rlike(r"\p{L}"), F.lit(None).cast("string")).otherwise(t)
 
 
@@ -45,4 +45,4 @@ def any_date(c: Column) -> Column:
         .when(t.rlike(dmy), ymd(F.regexp_extract(t, dmy, 3), F.regexp_extract(t, dmy, 2), F.regexp_extract(t, dmy, 1)))
         .when(t.rlike(word), ymd(F.regexp_extract(t, word, 3), F.try_element_at(names, F.regexp_extract(t, word, 2)), F.regexp_extract(t, word, 1)))
     )
-    return F.date_format(date, "yyyy-MM-dd")
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date").cast("string")).otherwise(F.date_format(date, "yyyy-MM-dd"))

@@ -95,7 +95,7 @@ def act_change_history(changes: DataFrame) -> DataFrame:
     rows = latest_of_snapshot(
         changes,
         {"eli": act_key(F.col("eli")), "eli_annotation": act_key(F.col("eli_annotation"))},
-        F.date_format(F.try_to_date(F.col("snapshot_date")), "yyyy-MM-dd"),
+        F.col("snapshot_date").try_cast("date").cast("string"),
         [F.col("loaded_at"), F.col("change_row_id")],
         {"type_of_change": label(F.col("type_of_change")), "date_of_change_annotation": any_date(F.col("date_of_change_annotation"))},
     )

@@ -20,17 +20,23 @@ EDGE_SCHEMA = "path array<string>, label string, kind string"
 ROW_SCHEMA = "type string, row_id string, parent_type string, parent_id string, label string, pos int, parent_label string, parent_pos int, fields map<string,string>"
 
 
-def read_body(text: str | None) -> dict | None:
-    """The object in a body; one that was encoded as a JSON string counts as its content. None where the body is
-    null, isn't valid JSON, nests too deep to be read or holds no object."""
-    for _ in range(8):
-        if not isinstance(text, str):
-            break
+def open_body(text: str | None) -> tuple[dict | None, str | None]:
+    """The object in a body, or why there is none: ``null``, ``not_json``, ``too_deep`` or ``no_object``. A body that was
+    encoded as a JSON string, however often, counts as its content."""
+    if text is None:
+        return None, "null"
+    while isinstance(text, str):
         try:
             text = json.loads(text)
-        except (ValueError, RecursionError):
-            return None
-    return text if isinstance(text, dict) else None
+        except ValueError:
+            return None, "not_json"
+        except RecursionError:
+            return None, "too_deep"
+    return (text, None) if isinstance(text, dict) else (None, "no_object")
+
+
+def read_body(text: str | None) -> dict | None:
+    return open_body(text)[0]
 
 
 def _kind(v: object) -> str:
@@ -167,22 +173,28 @@ def shred_body(body: dict, plan: Plan) -> list[tuple]:
     return rows
 
 
-def shred(df: DataFrame, keys: list[str], body: str, plan: Plan) -> DataFrame:
+def shred(df: DataFrame, keys: list[str], body: str, plan: Plan, types: list[str] | None = None, fields: bool = True) -> DataFrame:
     """Every object of every body as one row: its type, its own id, the id of its parent within the body, label and
     position, and the scalar fields inlined into it. Nulls in arrays keep their place and give no row; a null or
-    broken body gives none. ``keys`` are carried along and link the rows to their record."""
-    types = dict(df.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", " + ROW_SCHEMA
+    broken body gives none (``rejects`` lists these). ``keys`` are carried along and link the rows to their record. Only
+    rows of ``types`` come out where these are given, and without ``fields`` where they aren't needed."""
+    kinds = dict(df.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " + ROW_SCHEMA
     names = ["type", "row_id", "parent_type", "parent_id", "label", "pos", "parent_label", "parent_pos", "fields"]
+    if not fields:
+        names, schema = names[:-1], schema[: schema.rindex(", fields")]
+    width = len(names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out, of, ids = [], [], list(b[keys].itertuples(index=False, name=None))
             for i, text in enumerate(b[body]):
                 if (obj := read_body(text)) is not None:
-                    rows = shred_body(obj, plan)
+                    rows = [r[:width] for r in shred_body(obj, plan) if types is None or r[0] in types]
                     out += rows
                     of += [ids[i]] * len(rows)
+            if not out:  # an empty column of maps can't be sent
+                continue
             got = pd.DataFrame(out, columns=names).astype({"pos": "Int32", "parent_pos": "Int32"})
             for j, k in enumerate(keys):
                 got[k] = [x[j] for x in of]
@@ -191,18 +203,54 @@ def shred(df: DataFrame, keys: list[str], body: str, plan: Plan) -> DataFrame:
     return df.select(*keys, body).where(F.col(body).isNotNull()).mapInPandas(run, schema)
 
 
+def rejects(df: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, reason) of every row whose body gives nothing: null, not_json, too_deep or no_object. One row a body."""
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = pd.DataFrame({key: b[key], "reason": [open_body(t)[1] for t in b[body]]})
+            yield got[got["reason"].notna()]
+
+    return df.select(key, body).mapInPandas(run, f"{key} {kind}, reason string").distinct()
+
+
+def _reference_types(plan: Plan) -> tuple[list[str], list[str]]:
+    """Types of references, and of the texts of their acts."""
+    texts = sorted({t for p, t in plan.type_of.items() if p and p[-1] == "texts"})
+    labels: dict[tuple[str, ...], set[str]] = {}
+    for p in plan.type_of:
+        labels.setdefault(p[:-1], set()).update(p[-1:])
+    holders = {t for p, t in plan.type_of.items() if p and labels.get(p, set()) & {"act", "date", "art"}}
+    return sorted(holders - {"record"}), texts
+
+
+def _with_record(refs: DataFrame) -> DataFrame:
+    return refs.select("record_id", "eli", "call_result").where(F.col("record_id").isNotNull() & F.col("call_result").isNotNull())
+
+
+def reference_positions(refs: DataFrame) -> DataFrame:
+    """(record_id, relation, ref_pos, text_pos): one row per reference object, text_pos -1, and per object in the texts of
+    its act. The bodies are read twice, for the schema and for the rows, and never shuffled: rows of records that were
+    fetched again fall together at the end."""
+    whole = _with_record(refs)
+    plan = schema_graph(whole, "call_result")
+    ref_types, text_types = _reference_types(plan)
+    rows = shred(whole, ["record_id"], "call_result", plan, [*ref_types, *text_types], fields=False)
+    is_text = F.col("type").isin(text_types)
+    relation, ref_pos = F.when(is_text, F.col("parent_label")).otherwise(F.col("label")), F.when(is_text, F.col("parent_pos")).otherwise(F.col("pos"))
+    return rows.select("record_id", relation.alias("relation"), ref_pos.alias("ref_pos"), F.when(is_text, F.col("pos")).otherwise(F.lit(-1)).alias("text_pos")).distinct()
+
+
 def reference_tables(refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The flat tables of act_references: references (record_id, relation, ref_pos, ...) and their acts' texts
     (record_id, relation, ref_pos, text_pos, ...). Records fetched twice with the same body give their rows once."""
-    once = refs.select("record_id", "eli", "call_result").where(F.col("record_id").isNotNull()).dropDuplicates(["record_id", "call_result"])
-    plan = schema_graph(once, "call_result")
-    rows = shred(once, ["record_id", "eli"], "call_result", plan)
-    text_types = sorted({t for p, t in plan.type_of.items() if p and p[-1] == "texts"})
-    ref_types = sorted({plan.type_of[p[:-1]] for p in plan.type_of if p[-1:] == ("act",) and p[:-1] in plan.type_of} | {t for p, t in plan.type_of.items() if p and {"act", "date", "art"} & {q[-1] for q in plan.type_of if q[:-1] == p}})
-    ref_types = [t for t in ref_types if t != "record"]
+    whole = _with_record(refs)
+    plan = schema_graph(whole, "call_result")
+    ref_types, text_types = _reference_types(plan)
     get = lambda k: F.col("fields")[k]
-    references = rows.where(F.col("type").isin(ref_types)).select(
+    references = shred(whole, ["record_id", "eli"], "call_result", plan, ref_types).select(
         "record_id", "eli", F.col("label").alias("relation"), F.col("pos").alias("ref_pos"), get("date").alias("date"), get("art").alias("art"), get("act.ELI").alias("act_eli"), get("act.type").alias("act_type"), get("act.title").alias("act_title"), get("act.promulgation").alias("promulgation"), get("act.announcementDate").alias("announcement_date")
     )
-    texts = rows.where(F.col("type").isin(text_types)).select("record_id", "eli", F.col("parent_label").alias("relation"), F.col("parent_pos").alias("ref_pos"), F.col("pos").alias("text_pos"), get("type").alias("text_type"), get("fileName").alias("file_name"))
-    return references, texts
+    texts = shred(whole, ["record_id", "eli"], "call_result", plan, text_types).select("record_id", "eli", F.col("parent_label").alias("relation"), F.col("parent_pos").alias("ref_pos"), F.col("pos").alias("text_pos"), get("type").alias("text_type"), get("fileName").alias("file_name"))
+    return references.distinct(), texts.distinct()

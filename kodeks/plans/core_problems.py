@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kodeks.operators import nested
 from kodeks.operators.history import act_change_history
-from kodeks.operators.nested import reference_tables
 from kodeks.session import table
 
 
@@ -19,20 +19,22 @@ def p4_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    references, texts = reference_tables(table(spark, sf_dir, "act_references"))
-    cols = ["record_id", "relation", "ref_pos", "text_pos"]
-    return references.withColumn("text_pos", F.lit(-1)).select(*cols).unionByName(texts.select(*cols)).distinct()
+    return nested.reference_positions(table(spark, sf_dir, "act_references"))
 
 
 def p7_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reference_tables(table(spark, sf_dir, "act_references"))[0]
+    return nested.reference_tables(table(spark, sf_dir, "act_references"))[0]
 
 
 def p7_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reference_tables(table(spark, sf_dir, "act_references"))[1]
+    return nested.reference_tables(table(spark, sf_dir, "act_references"))[1]
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_history, p7_found, p7_references, p7_texts)}
+def p7_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.rejects(table(spark, sf_dir, "act_references"), "record_id", "call_result")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_history, p7_found, p7_references, p7_texts, p7_rejects)}
 
 # The same history in plain SQL: windows over whole tables instead of a merge.
 _NORMAL = """
@@ -55,7 +57,24 @@ marked AS (SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(t) OVER w IS NOT DI
   FROM filled WINDOW w AS (PARTITION BY eli, eli_annotation ORDER BY n)),
 grouped AS (SELECT *, sum(b) OVER (PARTITION BY eli, eli_annotation ORDER BY n ROWS UNBOUNDED PRECEDING) AS g FROM marked)
 """
+# The bodies in SQL: decoded, unwrapped, and their arrays and single objects laid out.
+_BODIES = """
+WITH raw AS (SELECT DISTINCT record_id, eli, call_result AS b FROM act_references WHERE record_id IS NOT NULL AND call_result IS NOT NULL AND json_valid(call_result)),
+decoded AS (SELECT record_id, eli, CASE WHEN json_type(b) = 'VARCHAR' THEN json_extract_string(b, '$') ELSE b END AS b FROM raw),
+body AS (SELECT DISTINCT record_id, eli, CASE WHEN json_type(b, '$.references') = 'OBJECT' THEN CAST(json_extract(b, '$.references') AS VARCHAR) ELSE b END AS b FROM decoded WHERE json_valid(b) AND json_type(b) = 'OBJECT'),
+rel AS (SELECT record_id, eli, relation, json_extract(b, '$."' || relation || '"') AS v FROM (SELECT *, unnest(json_keys(b)) AS relation FROM body)),
+refs AS (SELECT record_id, eli, relation, CAST(i AS INTEGER) AS ref_pos, r FROM (SELECT record_id, eli, relation, unnest(range(CAST(json_array_length(v) AS BIGINT))) AS i, unnest(json_extract(v, '$[*]')) AS r FROM rel WHERE json_type(v) = 'ARRAY'
+  UNION ALL SELECT record_id, eli, relation, 0, v FROM rel WHERE json_type(v) = 'OBJECT') WHERE json_type(r) = 'OBJECT'),
+held AS (SELECT *, json_extract(r, '$.act.texts') AS t FROM refs),
+texts AS (SELECT record_id, eli, relation, ref_pos, CAST(i AS INTEGER) AS text_pos, x FROM (SELECT record_id, eli, relation, ref_pos, unnest(range(CAST(json_array_length(t) AS BIGINT))) AS i, unnest(json_extract(t, '$[*]')) AS x FROM held WHERE json_type(t) = 'ARRAY'
+  UNION ALL SELECT record_id, eli, relation, ref_pos, 0, t FROM held WHERE json_type(t) = 'OBJECT') WHERE json_type(x) = 'OBJECT')
+"""
+_ART = "CASE json_type(r, '$.art') WHEN 'ARRAY' THEN '[' || coalesce(array_to_string(list_transform(json_extract(r, '$.art[*]'), lambda x: CAST(x AS VARCHAR)), ', '), '') || ']' ELSE json_extract_string(r, '$.art') END"
 SQL = {
+    "p7_found": _BODIES + "SELECT record_id, relation, ref_pos, CAST(-1 AS INTEGER) AS text_pos FROM refs UNION SELECT record_id, relation, ref_pos, text_pos FROM texts",
+    "p7_references": _BODIES + f"SELECT DISTINCT record_id, eli, relation, ref_pos, json_extract_string(r, '$.date') AS date, {_ART} AS art, json_extract_string(r, '$.act.ELI') AS act_eli, json_extract_string(r, '$.act.type') AS act_type, json_extract_string(r, '$.act.title') AS act_title, json_extract_string(r, '$.act.promulgation') AS promulgation, json_extract_string(r, '$.act.announcementDate') AS announcement_date FROM refs",
+    "p7_texts": _BODIES + "SELECT DISTINCT record_id, eli, relation, ref_pos, text_pos, json_extract_string(x, '$.type') AS text_type, json_extract_string(x, '$.fileName') AS file_name FROM texts",
+    "p7_rejects": "SELECT DISTINCT record_id, CASE WHEN call_result IS NULL THEN 'null' WHEN NOT json_valid(call_result) THEN 'not_json' ELSE 'no_object' END AS reason FROM act_references WHERE call_result IS NULL OR NOT json_valid(call_result) OR json_type(call_result) NOT IN ('OBJECT', 'VARCHAR')",
     "p4_found": _NORMAL + "SELECT eli, eli_annotation, min(snap) AS valid_from, arg_max(nxt, n) AS valid_to FROM grouped GROUP BY eli, eli_annotation, g",
     "p4_history": _NORMAL + "SELECT eli, eli_annotation, min(snap) AS valid_from, arg_max(nxt, n) AS valid_to, any_value(t) AS type_of_change, any_value(d) AS date_of_change_annotation FROM grouped GROUP BY eli, eli_annotation, g",
 }

@@ -18,6 +18,7 @@ def build_session(app: str = "kodeks", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
@@ -44,13 +45,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Partitions for work that is heavy on the CPU and light on bytes: three for every core, or the session's number of
-    shuffle partitions if that is more. A number that is given isn't lowered by AQE, which looks at bytes only. The keys
-    must be nearly unique, as hot ones would stay together."""
+PART_BYTES = 64 << 20  # what a spread partition holds at most, by the plan's own estimate
+
+
+def parts_for(df: DataFrame) -> int:
+    """Number of partitions for CPU-heavy work on ``df``: three for every core, the session's number of shuffle
+    partitions, or its estimated bytes in parts of PART_BYTES, whichever is most."""
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    by_bytes = -(-size // PART_BYTES) if size < 1 << 60 else 0  # no estimate is given as the largest number
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, by_bytes)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in as many partitions as its work on the CPU and its bytes ask for. A number that is given isn't lowered by
+    AQE, which looks at bytes only. The keys must be nearly unique, as hot ones would stay together."""
+    return df.repartition(parts_for(df), *keys)
 
 
 def spread_scan(df: DataFrame, *keys: str) -> DataFrame:

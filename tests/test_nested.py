@@ -1,6 +1,6 @@
 import json
 
-from kodeks.operators.nested import plan_tables, read_body, reference_tables, schema_graph, shred
+from kodeks.operators.nested import plan_tables, read_body, reference_positions, reference_tables, rejects, schema_graph, shred
 
 RELATIONS = ["Inf. o tekście jednolitym", "Podstawa prawna", "Uchylenia wynikające z", "Akty wykonawcze", "Akty zmieniające", "Akty uchylające"]
 
@@ -38,6 +38,12 @@ def test_edge_bodies(spark):
     df = spark.createDataFrame([(i, "e", b, "clash", 1) for i, b in rows], "record_id long, eli string, call_result string, type string, pos int")
     got = found(df)
     assert got == brute(rows)
+    assert sorted(map(tuple, reference_positions(df).collect())) == got
+    assert {r.record_id: r.reason for r in rejects(df, "record_id", "call_result").collect()} == {4: "not_json", 5: "null", 6: "not_json", 7: "no_object", 8: "no_object", 9: "not_json", 10: "too_deep"}
+    text = json.dumps(body)
+    for _ in range(12):
+        text = json.dumps(text)
+    assert read_body(text) == body
     assert (1, "Akty zmieniające", 2, 0) in got and (3, "Podstawa prawna", 0, -1) in got
     assert found(df.limit(0)) == []
 
