@@ -52,7 +52,7 @@ def parts_for(df: DataFrame) -> int:
     """Number of partitions for CPU-heavy work on ``df``: three for every core, the session's number of shuffle
     partitions, or its estimated bytes in parts of PART_BYTES, whichever is most."""
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     by_bytes = -(-size // PART_BYTES) if size < 1 << 60 else 0  # no estimate is given as the largest number
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, by_bytes)
 
