@@ -1,6 +1,7 @@
 """Evaluation texts leaking into training text (problem 9).
 
-Every window of ``WINDOW`` words of a document and of the items gets a SimHash of 64 bits. The fingerprints of the item
+Every window of ``WINDOW`` words of a document and of the items gets a SimHash of 64 bits; an item of fewer words is one
+window of its own size. The fingerprints of the item
 windows are indexed by RADIUS + 1 blocks of bits: two fingerprints within RADIUS bits agree in at least one block, so
 the index returns all item windows within the radius. The windows found say where an item may lie; there an exact
 alignment of words is scored with weighted shingles and decides.
@@ -62,12 +63,16 @@ def sign_rows(vocabulary: np.ndarray) -> np.ndarray:
     return (np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8) << 1) - 1
 
 
-def simhash_windows(signs: np.ndarray) -> np.ndarray:
-    """Fingerprints of all windows of WINDOW consecutive rows. Sums are doubled log2(WINDOW) times."""
-    n = 1
-    while n < WINDOW:
-        signs = signs[:-n] + signs[n:]
-        n *= 2
+def simhash_windows(signs: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """Fingerprints of all windows of ``width`` consecutive rows. Sums are doubled where the width is a power of two."""
+    if width & (width - 1):
+        sums = np.cumsum(np.vstack([np.zeros((1, BITS), np.int32), signs]), axis=0, dtype=np.int32)
+        signs = sums[width:] - sums[:-width]
+    else:
+        n = 1
+        while n < width:
+            signs = signs[:-n] + signs[n:]
+            n *= 2
     return np.packbits(signs > 0, axis=1).reshape(-1).view(np.uint64)
 
 
@@ -160,8 +165,10 @@ def best_stretches(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = 1 <<
 
 
 def shingle_similarity(item: np.ndarray, doc: np.ndarray, weight: np.ndarray, size: int = 2) -> float:
-    """Weighted share of the item's word shingles that the document holds; a shingle weighs as much as its words."""
-    if len(item) < size:
+    """Weighted share of the item's word shingles that the document holds; a shingle weighs as much as its words. A single
+    word is its own shingle."""
+    size = min(size, len(item))
+    if not size:
         return 0.0
     have = {tuple(doc[k : k + size]) for k in range(len(doc) - size + 1)}
     total = got = 0.0
@@ -172,111 +179,157 @@ def shingle_similarity(item: np.ndarray, doc: np.ndarray, weight: np.ndarray, si
     return got / total if total else 0.0
 
 
+class Windows:
+    """Index of all item windows of one size."""
+
+    def __init__(self, width: int, items: list[tuple[int, np.ndarray]], signs: np.ndarray) -> None:
+        self.width = width
+        prints = [simhash_windows(signs[x], width) for _, x in items]
+        self.of = np.concatenate([np.full(len(p), k, np.int32) for (k, _), p in zip(items, prints, strict=True)])
+        self.at = np.concatenate([np.arange(len(p), dtype=np.int64) for p in prints])
+        self.index = BlockIndex(np.concatenate(prints))
+
+    def hits(self, signs: np.ndarray, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``codes``, item, place in the item) of all windows within the radius that lie in one document."""
+        w = self.width
+        if len(codes) < w:
+            none = np.empty(0, np.int64)
+            return none, none, none
+        # in slices, so that memory doesn't grow with the length of a document
+        prints = np.concatenate([simhash_windows(signs[codes[k : k + SLICE + w - 1]], w) for k in range(0, len(codes) - w + 1, SLICE)])
+        where = np.flatnonzero(doc[: len(prints)] == doc[w - 1 :])
+        q, hit = self.index.within(prints[where])
+        return where[q], self.of[hit].astype(np.int64), self.at[hit]
+
+
 class LeakFinder:
     def __init__(self, items: list[tuple[int, str | None]], share: float, similarity: float, evidence: float) -> None:
         self.share, self.similarity, self.evidence = share, similarity, evidence
-        self.ids = [i for i, _ in items]
-        self.words = [words(t) for _, t in items]
-        vocabulary = sorted({w for x in self.words for w in x})
+        coded = [(i, x) for i, t in items if (x := words(t))]
+        self.ids = [i for i, _ in coded]
+        vocabulary = sorted({w for _, x in coded for w in x})
         self.code = {w: k for k, w in enumerate(vocabulary)}
-        self.coded = [np.array([self.code[w] for w in x], np.int32) for x in self.words]
+        self.coded = [np.array([self.code[w] for w in x], np.int32) for _, x in coded]
         self.weight = np.array([len(w) for w in vocabulary], float)
+        self.length = np.array([len(x) for x in self.coded], np.int32)
         signs = sign_rows(np.array(vocabulary, object)) if vocabulary else np.empty((0, BITS), np.int8)
-        of, at, prints = [], [], []
+        by_width: dict[int, list[tuple[int, np.ndarray]]] = {}
         for k, x in enumerate(self.coded):
-            if len(x) >= WINDOW:
-                p = simhash_windows(signs[x])
-                prints.append(p)
-                of.append(np.full(len(p), k, np.int32))
-                at.append(np.arange(len(p), dtype=np.int32))
-        cat = lambda xs, kind: np.concatenate(xs) if xs else np.empty(0, kind)
-        self.of, self.at = cat(of, np.int32), cat(at, np.int32)
-        self.index = BlockIndex(cat(prints, np.uint64))
-        self.length = np.array([len(x) for x in self.coded], np.int32)
+            by_width.setdefault(min(len(x), WINDOW), []).append((k, x))
+        self.windows = [Windows(w, own, signs) for w, own in sorted(by_width.items())]
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, float]]:
         """(document's place in the list, item_id, first and last item word of the stretch, similarity)."""
         tokens = [raw_words(t) for t in texts]
         sizes = np.array([len(x) for x in tokens])
         flat = [w for x in tokens for w in x]
-        if len(flat) < WINDOW or not len(self.of):
+        if not flat or not self.windows:
             return []
         codes, vocabulary = pd.factorize(np.array(flat, object))
         folded, vocabulary = pd.factorize(np.array([plain(w) for w in vocabulary], object))
         codes = folded[codes]
         signs = sign_rows(vocabulary)
-        # in slices, so that memory doesn't grow with the length of a document
-        prints = np.concatenate([simhash_windows(signs[codes[k : k + SLICE + WINDOW - 1]]) for k in range(0, len(codes) - WINDOW + 1, SLICE)])
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(texts)), sizes)
-        inside = doc[: len(prints)] == doc[WINDOW - 1 :]
-        where = np.flatnonzero(inside)
-        q, hit = self.index.within(prints[where])
-        if not len(q):
-            return []
-        pos, item, ipos = where[q], self.of[hit], self.at[hit].astype(np.int64)
-        d = doc[pos]
-        start = ends[d] - sizes[d]
-        rel = pos - start
-        # the windows of a stretch lie near one diagonal: count the item words that they cover along each, in bands
-        # that overlap, so that a few added words don't part a stretch
+        spots: dict[tuple[int, int], list[int]] = {}
+        for w in self.windows:
+            pos, item, ipos = w.hits(signs, codes, doc)
+            if len(pos):
+                d = doc[pos]
+                self._spots(spots, d, item, ipos, pos - (ends[d] - sizes[d]), int(sizes.max()), w.width)
         code_of = np.array([self.code.get(w, -1) for w in vocabulary], np.int32)
-        diagonal, wide, longest = rel - ipos, np.int64(int(sizes.max()) // BAND + 3), np.int64(int(self.length.max()) + WINDOW)
-        negative = int(self.length.max()) // BAND + 2
+        places, pairs = [], []
+        for (x, i), at in spots.items():
+            n = int(self.length[i])
+            slack = n // 4 + BAND  # words that changes may add to a stretch or take from it
+            own = code_of[codes[ends[x] - sizes[x] : ends[x]]]
+            at.sort()
+            lo = hi = at[0]
+            for k in [*at[1:], None]:
+                if k is not None and k - hi <= slack:
+                    hi = k
+                    continue
+                part = own[max(0, lo - slack) : hi + n + slack]
+                if self._can_reach(i, part):
+                    places.append((x, i))
+                    pairs.append((self.coded[i], part))
+                lo = hi = k
+        out: dict[tuple[int, int], tuple[int, int, float]] = {}
+        for (x, i), (item_words, part), (first, last) in zip(places, pairs, best_stretches(pairs), strict=True):
+            # shorter stretches of a short item are stock phrases
+            least = self.share * len(item_words) if len(item_words) >= WINDOW else len(item_words)
+            if last - first + 1 >= least:
+                stretch = item_words[first : last + 1]
+                s = shingle_similarity(stretch, part, self.weight[stretch])
+                if s >= self.similarity and s > out.get((x, i), (0, 0, 0.0))[2]:
+                    out[(x, i)] = (first, last, s)
+        return [(x, self.ids[i], f, e, s) for (x, i), (f, e, s) in out.items()]
+
+    def _can_reach(self, i: int, part: np.ndarray) -> bool:
+        """Whether any stretch of the least length could have the similarity asked for: a necessary condition of the final
+        test, since that counts the same shingles. Weights above the similarity are summed up from the best start."""
+        x = self.coded[i]
+        if len(x) < 2:
+            return True
+        wide = np.int64(len(self.code) + 1)
+        have = np.isin(x[:-1] * wide + x[1:], part[:-1] * wide + part[1:])
+        w = self.weight[x[:-1]] + self.weight[x[1:]]
+        gain = np.concatenate([[0.0], np.cumsum(w * (have - self.similarity))])
+        least = max(1, int(np.ceil(self.share * len(x))) - 1) if len(x) >= WINDOW else len(x) - 1
+        return bool((gain[least:] - np.minimum.accumulate(gain[: len(gain) - least]) >= -1e-9).any())
+
+    def _spots(self, spots: dict[tuple[int, int], list[int]], d: np.ndarray, item: np.ndarray, ipos: np.ndarray, rel: np.ndarray, longest_doc: int, width: int) -> None:
+        """Places of a document where an item may begin. The windows of a stretch lie near one diagonal: the item words
+        that they cover along each are counted, in bands that overlap, so that a few added words don't part a stretch."""
+        most = int(self.length.max())
+        diagonal, wide, longest = rel - ipos, np.int64(longest_doc // BAND + 3), np.int64(most + WINDOW)
+        negative = most // BAND + 2
         need = self.evidence * self.length
-        spots: dict[tuple[int, int], tuple[int, int]] = {}
         for shift in (0, BAND // 2):
             key = ((d * len(self.ids) + item) * (wide + negative) + (diagonal + shift) // BAND + negative) * longest
-            cells = np.unique((key + ipos)[:, None] + np.arange(WINDOW)) // longest
+            cells = np.unique((key + ipos)[:, None] + np.arange(width)) // longest
             keys, covered = np.unique(cells, return_counts=True)
             of = keys // (wide + negative)
             enough = covered >= need[of % len(self.ids)]
             for o, band in zip(of[enough], keys[enough] % (wide + negative), strict=True):
-                x, i, at = int(o // len(self.ids)), int(o % len(self.ids)), int(band - negative) * BAND - shift
-                lo, hi = spots.get((x, i), (at, at))
-                spots[(x, i)] = (min(lo, at), max(hi, at))
-        out: dict[tuple[int, int], tuple[int, int, float]] = {}
-        places, pairs = [], []
-        for (x, i), (lo, hi) in spots.items():
-            n = int(self.length[i])
-            slack = n // 4 + BAND  # words that changes may add to a stretch or take from it
-            own = code_of[codes[ends[x] - sizes[x] : ends[x]][max(0, lo - slack) : hi + n + slack]]
-            # no alignment has more equal words than the item has words that stand there at all
-            if np.isin(self.coded[i], own).sum() >= 0.75 * self.share * n:
-                places.append((x, i))
-                pairs.append((self.coded[i], own))
-        for (x, i), (item_words, own), (first, last) in zip(places, pairs, best_stretches(pairs), strict=True):
-            if last - first + 1 >= self.share * len(item_words):
-                part = item_words[first : last + 1]
-                s = shingle_similarity(part, own, self.weight[part])
-                if s >= self.similarity:
-                    out[(x, i)] = (first, last, s)
-        return [(x, self.ids[i], f, e, s) for (x, i), (f, e, s) in out.items()]
+                spots.setdefault((int(o // len(self.ids)), int(o % len(self.ids))), []).append(int(band - negative) * BAND - shift)
+
+
+@lru_cache(2)
+def _finder(items: tuple, share: float, similarity: float, evidence: float) -> LeakFinder:
+    """The index of a worker process, kept from task to task."""
+    return LeakFinder(list(items), share, similarity, evidence)
 
 
-def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, share: float = 0.4, similarity: float = 0.72, evidence: float = 0.12, most_items: int = 100_000) -> DataFrame:
+def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, share: float = 0.4, similarity: float = 0.72, evidence: float = 0.12, most_items: int = 100_000, most_letters: int = 100_000_000) -> DataFrame:
     """(key, item_id, first_word, last_word, similarity): every document that holds an item, or one connected stretch of
-    at least ``share`` of its words, lightly altered at most.
+    at least ``share`` of its words, lightly altered at most. Items of fewer than WINDOW words must be held whole.
 
     A stretch is a candidate where windows within the Hamming radius cover ``evidence`` of the item's words. Null and
-    empty texts hold nothing; items of fewer than WINDOW words can't be searched. The items (their number is checked)
-    go to every worker; documents are read once and moved by their id at most, so no key or source can be hot.
+    empty texts hold nothing, and items without words are held by none; an item with several texts is held where one of
+    them is. The items (their number and letters are checked) go to every worker; documents are read once and moved by
+    their id at most, so no key or source can be hot.
     """
-    rows = [(r[0], r[1]) for r in items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["item_id"]).orderBy("item_id").limit(most_items + 1).collect()]
-    if len(rows) > most_items:
-        raise ValueError(f"over {most_items} items; search them in blocks")
+    kept = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    number, letters = kept.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    if number > most_items or letters > most_letters:
+        raise ValueError(f"over {most_items} items or {most_letters} letters; search them in blocks")
+    rows = tuple((r[0], r[1]) for r in kept.orderBy("item_id", "text").collect())
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = LeakFinder(rows, share, similarity, evidence)
+        finder = _finder(rows, share, similarity, evidence)
         for b in batches:
             ids = b["key_"].to_numpy()
             texts = list(b["text_"])
             ends = np.cumsum([len(t) for t in texts]) // PART
             for part in np.unique(ends):
                 at = int(np.searchsorted(ends, part))
-                got = finder.find(texts[at : int(np.searchsorted(ends, part, side="right"))])
-                yield pd.DataFrame([(ids[at + g[0]], *g[1:]) for g in got], columns=["key_", "item_id", "first_word", "last_word", "similarity"])
+                best: dict[tuple, tuple] = {}
+                for x, i, f, e, s in finder.find(texts[at : int(np.searchsorted(ends, part, side="right"))]):
+                    if s > best.get((x, i), (0, 0, 0.0))[2]:
+                        best[(x, i)] = (f, e, s)
+                yield pd.DataFrame([(ids[at + x], i, *v) for (x, i), v in best.items()], columns=["key_", "item_id", "first_word", "last_word", "similarity"])
 
     found = docs.select(F.col(key).alias("key_"), F.col(text).alias("text_")).where("key_ IS NOT NULL AND length(text_) > 0")
     found = spread_scan(found, "key_").mapInPandas(run, f"key_ {kind}, item_id bigint, first_word int, last_word int, similarity double")
