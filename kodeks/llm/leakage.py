@@ -261,7 +261,7 @@ class LeakFinder:
             if last - first + 1 >= least:
                 stretch = item_words[first : last + 1]
                 s = shingle_similarity(stretch, part, self.weight[stretch])
-                if s >= self.similarity and s > out.get((x, i), (0, 0, 0.0))[2]:
+                if s >= self.similarity and ((x, i) not in out or (last - first, s) > (out[(x, i)][1] - out[(x, i)][0], out[(x, i)][2])):
                     out[(x, i)] = (first, last, s)
         return [(x, self.ids[i], f, e, s) for (x, i), (f, e, s) in out.items()]
 

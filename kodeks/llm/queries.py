@@ -25,6 +25,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.map_titles(table(spark, sf_dir, "llm_references"), "ref_id", table(spark, sf_dir, "act_catalog"))
 
 
+def p3_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.title_candidates(table(spark, sf_dir, "llm_references"), "ref_id", table(spark, sf_dir, "act_catalog"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = skeleton.cell_cases(table(spark, sf_dir, "act_chars"))
     titles = skeleton.text_cases(table(spark, sf_dir, "llm_references"), "ref_id", "tytul").distinct()
@@ -55,5 +59,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_ratings"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p5_found, p5_groups, p6_found, p6_text, p8_pack, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p3_candidates, p5_found, p5_groups, p6_found, p6_text, p8_pack, p9_found, p10_found)}
 SQL: dict[str, str] = {}

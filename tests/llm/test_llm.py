@@ -52,6 +52,26 @@ def test_long_copies_are_judged_like_short_ones():
         assert not pairs.says_no_more(" ".join(q), " ".join(w for b in blocks[::-1] for w in b))
 
 
+def test_language_of_prompt_and_response():
+    m = language.LanguageModel()
+    cs = "Kdo užívá vodní mlýn, je povinen zaplatit poplatek."
+    assert pairs.is_foreign(m, QUESTION, cs) and not pairs.is_foreign(m, QUESTION, "Tak, wystarczy zgłoszenie.") and not pairs.is_foreign(m, "", "Tak.")
+    differs = lambda q, a: pairs.language_differs(m.posterior(q), m.posterior(a))
+    assert differs(QUESTION, cs) > 0.99 and differs(QUESTION, "Młyn wodny wymaga zgłoszenia do starosty.") < 0.01
+    # a pair that agrees needs more evidence
+    texts = [x[:n] for x in ("Ano, stačí předložit", "Yes, it is enough", "Nein, das genügt", "Oui, monsieur") for n in range(2, len(x))]
+    short = next(t for t in texts if 4 <= (s := m.scores(t)).max() - s[0] < 8 and m.posterior(t)[m.language(t)] > 0.8)
+    assert pairs.is_foreign(m, QUESTION, short) and not pairs.is_foreign(m, short, short)
+
+
+def test_formula_after_a_sentence_and_words_that_never_follow(spark):
+    text = "Od {} maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. Wójt wydaje akt."
+    rows = [(100 + i, QUESTION, text.format(i)) for i in range(12)]
+    rows += [(1, QUESTION, "Od 3 maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. $W = 3$"), (2, QUESTION, "Od 3 maja starosta akt")]
+    for most in (2_000_000, 0):  # asked n-grams sent to the tasks, or all counted
+        assert {r.nro: r.defect for r in pairs.defects(qdf(spark, rows), most_asked=most).collect()} == {2: "truncated"}
+
+
 def test_ellipsis_closes_no_answer(spark):
     text = "Od {} maja starosta prowadzi rejestr mostów, gdyż stary wzór stracił aktualność. Organ prowadzi spis na podstawie protokołu oględzin."
     rows = [(100 + i, QUESTION, text.format(i)) for i in range(8)]
@@ -132,11 +152,33 @@ def test_titles(tytul, skrot, eli):
     assert canon.Matcher(canon.Catalogue.of([*CATALOGUE, (None, "x", None), ("DU/9/9", None, None)])).match(tytul, skrot) == eli
 
 
+def test_entries_of_any_form_and_alias_paths():
+    rows = [("A", "Rozporządzenie Ministra Młynów z dnia 5 maja 2010 r. w sprawie młynów wodnych", None), ("B", "Konstytucja Rzeczypospolitej Polskiej z dnia 2 kwietnia 1997 r.", None), ("C", "Kodeks cywilny", None), ("D", CATALOGUE[2][1], None), ("E", "Ustawa z dnia 9 lutego 2011 r. o opłatach za użytkowanie", None)]
+    m = canon.Matcher(canon.Catalogue.of(rows))
+    for eli, tytul, _ in rows[:4]:
+        assert m.match(tytul, None) == eli and (eli, 0) in m.candidates(tytul)
+    assert m.match("kodex cywilmy, art. 5", None) == "C" and dict(m.candidates("kodeks cywilmy")) == {"C": 1}
+    words = "opłatach za użytkowanie wiat przystankowych".split()
+    for i in range(len(words)):  # every rotation is a path; both entries that lie within it come out
+        assert m.candidates(" ".join(words[i:] + words[:i]))[0] == ("D", 0)
+    assert dict(m.candidates("o opłatach za użytkowanie wiat przystankowych")) == {"D": 0, "E": 0}
+
+
+def test_trie_grows_with_the_letters():
+    def nodes(at):
+        return 1 + sum(nodes(x) for k, x in at.items() if k is not None)
+
+    title = " ".join(f"wyraz{chr(97 + i)}" for i in range(20))
+    c = canon.Catalogue.of([("A", f"Ustawa z dnia 5 maja 2010 r. o {title}", None)])
+    assert nodes(c.phrases) == 21 and sum(map(len, c.inside.values())) == 19
+
+
 def test_map_titles(spark):
     cat = spark.createDataFrame(CATALOGUE, "eli string, tytul string, skrot string")
     rows = [(1, "ustawa z 2010 r. o ochronie młynów wodnych", None), (1, "ustawa z 2010 r. o ochronie młynów wodnych", None), (2, None, None), (3, LONG, None), (None, "x", None)]
     df = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "ref_id long, tytul string, skrot string, eli string, key_ string")
     assert sorted(map(tuple, canon.map_titles(df, "ref_id", cat).collect())) == [(1, "DU/2010/1"), (2, ""), (3, "")]
+    assert sorted(map(tuple, canon.title_candidates(df, "ref_id", cat).collect())) == [(1, "DU/2010/1", 0), (1, "DU/2020/2", 0)]
     assert canon.map_titles(df.limit(0), "ref_id", cat).count() == 0 and [r.eli for r in canon.map_titles(df, "ref_id", cat.limit(0)).collect()] == [""] * 3
 
 
@@ -278,6 +320,31 @@ def test_block_index_finds_all_within_the_radius():
     assert {(int(a), int(b)) for a, b in zip(q, h, strict=True)} == want
 
 
+def test_short_items_are_held_whole(spark):
+    items = spark.createDataFrame([(1, "młyn wodny stoi nad cichą rzeką Wartą"), (2, "kto zamknie śluzę"), (3, "!"), (4, "jeden"), (2, "inny krótki tekst pytania")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Wiadomo: MŁYN wodny stoi, nad cicha rzeką Wartą. Reszta."), (2, "młyn wodny stoi nad"), (3, "Kto zamknie śluzę"), (4, "x inny krótki tekst pytania y"), (5, "jeden"), (6, "zamknie śluzę kto")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leakage.leaks(docs, "doc_id", "text", items).collect()}
+    assert got == {(1, 1), (3, 2), (4, 2), (5, 4)}
+
+
+def test_stretches_far_apart_and_the_bound():
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    item = [word() for _ in range(60)]
+    doc = item[:30] + [word() for _ in range(3000)] + item
+    finder = leakage.LeakFinder([(1, " ".join(item))], 0.4, 0.72, 0.12)
+    assert finder.find([" ".join(doc)]) == [(0, 1, 0, 59, 1.0)]
+    # the bound never refuses what the final test takes
+    for _ in range(200):
+        part = np.array([rnd.choice([*range(60), -1, -1]) if rnd.random() < 0.3 else i for i in range(rnd.randrange(20, 60))], np.int32)
+        x = finder.coded[0]
+        own = np.where(part < 0, -1, x[part])
+        first, last = leakage.best_stretches([(x, own)])[0]
+        stretch = x[first : last + 1]
+        takes = last - first + 1 >= 0.4 * len(x) and leakage.shingle_similarity(stretch, own, finder.weight[stretch]) >= 0.72
+        assert finder._can_reach(0, own) or not takes
+
+
 def local(item, doc):
     best, table = (0, 0, -1), {}
     for i in range(len(item) + 1):
