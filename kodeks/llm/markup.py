@@ -2,7 +2,8 @@
 
 One scan takes code blocks and formulas out first, since their inside is no mark-up, then reads the blocks (headings,
 lists) and the rest of HTML, LaTeX, wiki text and Markdown. Suffix arrays over repeated strings, the method named for
-this problem, find boilerplate but tell nothing about the kind of a mark-up; README says so.
+this problem, are in ``boilerplate``; they find what pages share but tell nothing about the kind of a mark-up, and README
+has the figures.
 """
 
 from __future__ import annotations
@@ -38,9 +39,6 @@ _FORMULA = [
     ("html", re.compile(r"<math\b[^>]*>(?=\s*<)(.*?)</math\s*>", re.IGNORECASE | re.DOTALL)),
     ("latex", re.compile(r"<math\b[^>]*>(.*?)</math\s*>", re.IGNORECASE | re.DOTALL)),
     ("latex", re.compile(r"\\begin\{((?:equation|align|gather|multline|eqnarray|displaymath|math)\*?)\}(.*?)\\end\{\1\}", re.DOTALL)),
-    ("latex", re.compile(r"\$\$(.{1,4000}?)\$\$", re.DOTALL)),
-    ("latex", re.compile(r"\\\[(.{1,4000}?)\\\]", re.DOTALL)),
-    ("latex", re.compile(r"\\\((.{1,4000}?)\\\)", re.DOTALL)),
     ("latex", re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*?[\\=^_<>+][^$\n]*?)(?<=[^\s\\])\$(?![\w$])")),
 ]
 _LATEX_HEAD = re.compile(r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\{([^{}]*)\}")
@@ -50,15 +48,14 @@ _LATEX_SPAN = re.compile(r"\\(?:[a-zA-Z]{2,})\*?(?:\[[^\]]*\])?\{([^{}]*)\}")
 _WIKI_HEAD = re.compile(r"^[ \t]*(={2,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", re.MULTILINE)
 _WIKI_NOTE = re.compile(r"\{\{[^{}]*\}\}")
 _WIKI_LINK = re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]|\[https?://\S+ ([^\]]*)\]")
-_WIKI_QUOTES = re.compile(r"(?<!')('''''|'''|'')(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)\1(?!')", re.DOTALL)
 _SETEXT = re.compile(r"^(?![-=]+[ \t]*$)[ \t]*(\S[^\n]*)\n[ ]{0,3}(?:-{3,}|={3,})[ \t]*$", re.MULTILINE)
 _HASHES = re.compile(r"(?:^#+ +[^\n]+(?:\n|\Z))+", re.MULTILINE)
 _MD_BULLETS = re.compile(r"^[ ]{0,3}[-+][ \t]+(?=\S)", re.MULTILINE)
 _STARS = re.compile(r"^[ ]{0,3}\*+[ \t]+(?=\S)", re.MULTILINE)
 _MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\"]*\")?\)")
-_MD_SPANS = [re.compile(p, re.DOTALL) for p in (r"\*\*(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)\*\*", r"(?<!\w)__(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)__(?!\w)", r"~~(?=\S)((?:[^\n]|\n(?!\n)){1,1000}?)(?<=\S)~~", r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"(?<![\w_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")]
-#: A span of emphasis or a formula that isn't closed within a bounded stretch is no mark-up, so that unclosed marks
-#: cost no more than their number times this bound.
+_MD_SPANS = [re.compile(p) for p in (r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"(?<![\w_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![\w_])")]
+_DISPLAYED = [("$$", "$$"), ("\\[", "\\]"), ("\\(", "\\)")]
+_PARAGRAPHS = re.compile(r"(\n{2,})")
 _MD_CODE = re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]*?[^`])\1(?!`)")
 _MD_QUOTE = re.compile(r"^[ ]{0,3}>[ \t]+(?=\S)", re.MULTILINE)
 
@@ -66,6 +63,50 @@ _MD_QUOTE = re.compile(r"^[ ]{0,3}>[ \t]+(?=\S)", re.MULTILINE)
 _ANY = re.compile(r"[<&\\`_~\[{$=#]|\*\S|''|^[ ]{0,3}(?:[-+*]\s|[-=]{3,})|^>", re.MULTILINE)
 
 
+def between(t: str, opener: str, closer: str, make) -> str:
+    """Every stretch between an opener and the next closer, not empty, replaced by ``make`` of its inside. One scan: where
+    no closer follows, none follows any later opener."""
+    out, at = [], 0
+    while (i := t.find(opener, at)) >= 0 and (j := t.find(closer, i + len(opener) + 1)) >= 0:
+        out += [t[at:i], make(t[i + len(opener) : j])]
+        at = j + len(closer)
+    return "".join(out) + t[at:] if out else t
+
+
+def emphasised(t: str, mark: str, sizes: tuple[int, ...], make, whole_words: bool = False) -> str:
+    """Spans between marks (``sizes`` times the sign) replaced by ``make`` of their inside. An opening mark has text right
+    behind it and a closing one right before it, with ``whole_words`` none of the text around touches them, and no blank
+    line lies between. One scan over the marks of every paragraph, whatever the length of a span."""
+    if mark * sizes[-1] not in t:
+        return t
+    runs_of = re.compile(re.escape(mark) + (r"{%d,}" % sizes[-1] if len(sizes) > 1 else r"{%d}" % sizes[0]))
+    parts = _PARAGRAPHS.split(t)
+    for p, part in enumerate(parts):
+        runs = [m.span() for m in runs_of.finditer(part)]
+        if len(runs) < 2:
+            continue
+        closing: list[dict[int, int]] = [{} for _ in range(len(runs) + 1)]  # for every place the next mark that closes
+        for k in range(len(runs) - 1, -1, -1):
+            a, b = runs[k]
+            closing[k] = dict(closing[k + 1])
+            if a and not part[a - 1].isspace() and not (whole_words and b < len(part) and (part[b].isalnum() or part[b] == "_")):
+                closing[k].update({n: k for n in sizes if b - a >= n})
+        out, at, k = [], 0, 0
+        while k < len(runs):
+            a, b = runs[k]
+            free = not (whole_words and a and (part[a - 1].isalnum() or part[a - 1] == "_"))
+            size = next((n for n in sizes if free and b - a >= n and a + n < len(part) and not part[a + n].isspace() and n in closing[k + 1] and runs[closing[k + 1][n]][1] - n > a + n), None)
+            if size is None:
+                k += 1
+                continue
+            to = closing[k + 1][size]
+            end = runs[to][1]
+            out += [part[at:a], make(part[a + size : end - size])]
+            at, k = end, to + 1
+        parts[p] = "".join(out) + part[at:]
+    return "".join(parts)
+
+
 @dataclass
 class Parsed:
     """Kinds of mark-up, clean text with structure, and plain text of the sentences alone."""
@@ -78,9 +119,7 @@ class Parsed:
 
 def unescape_markup(text: str) -> str:
     """Escaped mark-up becomes what it stands for: as a whole where no real tag stands in the text, else tag by tag."""
-    for _ in range(3):
-        if not _ESCAPED_TAG.search(text) or _REAL_TAG.search(text):
-            break
+    while _ESCAPED_TAG.search(text) and not _REAL_TAG.search(text):
         text = text.replace("&lt;", "<").replace("&gt;", ">").replace("&quot;", '"').replace("&amp;", "&")
     return text
 
@@ -129,8 +168,15 @@ def parse(source: str | None) -> Parsed:
         t = _MD_CODE.sub(lambda m: (out.kinds.add(("markdown", "other")), kept.append(m[2]), f"\0{len(kept) - 1}\0")[2], t)
     t = _ESCAPED_TAG.sub(lambda m: "<" + m[1].replace("&quot;", '"') + ">", t)
     if "<math" in t or "$" in t or "\\" in t or "<MATH" in t:
-        for lang, p in _FORMULA:
+        def displayed(inside: str) -> str:
+            out.kinds.add(("latex", "formula"))
+            return keep("formula", inside)
+
+        for lang, p in _FORMULA[:-1]:
             t = p.sub(formula(lang), t)
+        for opener, closer in _DISPLAYED:
+            t = between(t, opener, closer, displayed)
+        t = _FORMULA[-1][1].sub(formula("latex"), t)
 
     if "<" in t:
         t = _COMMENT.sub(other("html", "other", ""), t)
@@ -167,8 +213,19 @@ def parse(source: str | None) -> Parsed:
     t = _WIKI_HEAD.sub(lambda m: other("wiki", "heading", f"\n\1{m[2]}\n")(m), t)
     t = _WIKI_NOTE.sub(other("wiki", "other", ""), t)
     t = _WIKI_LINK.sub(other("wiki", "other"), t)
-    t = _WIKI_QUOTES.sub(lambda m: other("wiki", "other", m[2])(m), t) if "''" in t else t
+
+    def span(lang: str):
+        def make(inside: str) -> str:
+            out.kinds.add((lang, "other"))
+            return inside
+
+        return make
+
+    t = emphasised(t, "'", (5, 3, 2), span("wiki"))
     t = _MD_LINK.sub(other("markdown", "other"), t)
+    t = emphasised(t, "*", (2,), span("markdown"))
+    t = emphasised(t, "_", (2,), span("markdown"), whole_words=True)
+    t = emphasised(t, "~", (2,), span("markdown"))
     for p in _MD_SPANS:
         t = p.sub(other("markdown", "other"), t)
 
@@ -205,14 +262,16 @@ def parse(source: str | None) -> Parsed:
     return out
 
 
-def _once(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
-    """Contents of every key, long form: key, field, text. Rows that were fetched again count once."""
-    parts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).alias("text")) for f, c in columns.items()])
-    return df.where(F.col(key).isNotNull()).select(key, F.explode(parts).alias("p")).select(key, "p.field", "p.text").where("length(text) > 0").distinct()
+def _contents(df: DataFrame, key: str) -> DataFrame:
+    """Contents of every key that hold text, in one row, spread by the key. Rows that were fetched again fall together."""
+    texts = [F.nullif(c, F.lit("")).alias(f) for f, c in FIELDS.items()]
+    return spread(df.where(F.col(key).isNotNull()).select(F.col(key).alias("key_"), *texts).distinct(), "key_")
 
 
-def _shared(df: DataFrame, key: str) -> DataFrame:
-    return spread(_once(df, key, FIELDS), key, "field", "text")
+def _fields(b: pd.DataFrame) -> Iterator[tuple]:
+    """(key, field, text) of every content in a batch."""
+    for row in b[["key_", *FIELDS]].itertuples(index=False, name=None):
+        yield from ((row[0], f, t) for f, t in zip(FIELDS, row[1:], strict=True) if t)
 
 
 FIELDS = {"question": "question_content", "answer": "answer_content"}
@@ -224,19 +283,19 @@ def markup_kinds(df: DataFrame, key: str = "nro") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, f, *x) for k, f, t in zip(b[key], b["field"], b["text"], strict=True) for x in sorted(parse(t).kinds)]
-            yield pd.DataFrame(rows, columns=[key, "field", "markup", "element"])
+            rows = [(k, f, *x) for k, f, t in _fields(b) for x in sorted(parse(t).kinds)]
+            yield pd.DataFrame(rows, columns=["key_", "field", "markup", "element"])
 
-    return _shared(df, key).mapInPandas(run, f"{key} {kind}, field string, markup string, element string").distinct()
+    return _contents(df, key).mapInPandas(run, f"key_ {kind}, field string, markup string, element string").distinct().withColumnRenamed("key_", key)
 
 
 def clean_texts(df: DataFrame, key: str = "nro") -> DataFrame:
     """(key, field, text): clean text in which ``# `` marks a heading, ``- `` a list item, fences a code block and
-    dollar signs a formula."""
+    dollar signs a formula. A content that was fetched twice comes out once."""
     kind = dict(df.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(text=[parse(t).text for t in b["text"]])[[key, "field", "text"]]
+            yield pd.DataFrame([(k, f, parse(t).text) for k, f, t in _fields(b)], columns=["key_", "field", "text"])
 
-    return _shared(df, key).mapInPandas(run, f"{key} {kind}, field string, text string")
+    return _contents(df, key).mapInPandas(run, f"key_ {kind}, field string, text string").distinct().withColumnRenamed("key_", key)

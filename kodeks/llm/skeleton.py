@@ -1,8 +1,10 @@
 """Visually identical text with different characters (problem 5).
 
 The skeleton of a text is its decomposition with every character replaced by the prototype it looks like, decomposed
-again; texts that look the same have one skeleton. Whether a look-alike letter is foreign on purpose is told from its
-word: among Latin letters it is a substitute, among letters of its own script that have no Latin twin it is meant.
+again; texts that look the same have one skeleton, and its composed form is the prototype of their group. An original
+that differs from it is a candidate. The exact check that follows tells from its word whether a look-alike letter is
+foreign on purpose: among Latin letters it is a substitute, among letters of its own script that have no Latin twin it
+is meant.
 """
 
 from __future__ import annotations
@@ -62,6 +64,11 @@ def skeleton(text: str) -> str:
     return unicodedata.normalize("NFD", "".join(PROTOTYPE.get(c) or LOOSE_PROTOTYPE.get(c, c) for c in t))
 
 
+def prototype(text: str) -> str:
+    """The composed skeleton: what all originals of one skeleton are compared with."""
+    return unicodedata.normalize("NFC", skeleton(text))
+
+
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 
 
@@ -105,6 +112,11 @@ def skeleton_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None else skeleton(t))
 
 
+@F.pandas_udf(StringType())
+def prototype_udf(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: t if t is None else prototype(t))
+
+
 @F.pandas_udf(StringType())
 def ordinary_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None else ordinary(t))
@@ -121,14 +133,17 @@ def skeleton_groups(df: DataFrame, text: str) -> DataFrame:
 
 
 def text_cases(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Keys of the rows whose text looks right but isn't in the consistent form. Null and empty texts and texts with
-    literal backslash escapes are no cases."""
+    """Keys of the rows whose text looks right but isn't in the consistent form: it differs from the prototype of its
+    skeleton group, and the rule of words confirms it. Since the prototype follows from the skeleton, no group needs to
+    be brought together. Null and empty texts and texts with literal backslash escapes are no cases."""
     odd = df.select(key, text).where(F.col(text).isNotNull() & ~F.col(text).rlike(PLAIN) & ~F.col(text).rlike(_ESCAPE.pattern))
-    return odd.where(consistent_udf(text) != F.col(text)).select(key)
+    candidates = odd.where(prototype_udf(text) != F.col(text))
+    return candidates.where(consistent_udf(text) != F.col(text)).select(key)
 
 
 def cell_cases(chars: DataFrame, block: int = 4096) -> DataFrame:
-    """char_id of every cell that must be changed, merged or removed.
+    """char_id of every cell that must be changed, merged or removed. Candidates are the cells whose text differs from the
+    prototype of its skeleton group, and combining marks, whose skeleton is one with the cell before them.
 
     The cells of an act are cut into blocks of index ranges, so that an act with a third of all cells spreads over
     many tasks. What lies before and after a block (last break, last Latin letter, ...) is carried over from one row
@@ -164,6 +179,7 @@ def cell_cases(chars: DataFrame, block: int = 4096) -> DataFrame:
     # a word of nothing but twins goes with the nearest letters on either side
     swap = twin & (mixed | ~foreign)
     loose = t.rlike(f"[{''.join(LOOSE_PROTOTYPE)}]") & mixed
+    odd = odd.where(mark | (prototype_udf("text") != F.col("text")))
     odd = odd.select("char_id", "text", (swap | loose).alias("swap_"), mark.alias("mark_"), left["base_"].alias("base_"))
     found = odd.where(F.col("swap_") | F.col("mark_") | (ordinary_udf("text") != F.col("text")))
     return found.select(F.explode(F.array("char_id", F.when(F.col("mark_"), F.col("base_.char_id")))).alias("char_id")).where("char_id IS NOT NULL").distinct()

@@ -1,12 +1,13 @@
 """Edge cases and brute-force checks of the operators for training text."""
 
 import random
+import re
 import unicodedata
 
 import numpy as np
 import pytest
 
-from kodeks.llm import canon, language, leakage, markup, packing, pairs, readability, scan, skeleton
+from kodeks.llm import boilerplate, canon, language, leakage, markup, packing, pairs, readability, scan, skeleton
 
 LONG = "Właściciel urządzenia składa wniosek w terminie 14 dni. " * 4000
 
@@ -114,6 +115,60 @@ def test_clean_text_keeps_structure(spark):
     assert markup.clean_texts(df).count() == 2 and markup.markup_kinds(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 20_000])
+@pytest.mark.parametrize(("opener", "closer", "kind"), [("$$", "$$", ("latex", "formula")), ("\\[", "\\]", ("latex", "formula")), ("\\(", "\\)", ("latex", "formula")), ("**", "**", ("markdown", "other")), ("__", "__", ("markdown", "other")), ("~~", "~~", ("markdown", "other")), ("'''", "'''", ("wiki", "other"))])
+def test_spans_of_any_length(opener, closer, kind, n):
+    inside = "xy " * n + "z"
+    assert markup.parse(f"a {opener}{inside}{closer} b").kinds == {kind}
+    assert markup.parse(f"a {opener}{inside} b").kinds == set()
+
+
+def test_spans_equal_the_patterns():
+    rnd = random.Random(2)
+    forms = [("*", (2,), False, r"\*\*(?=\S)((?:[^\n]|\n(?!\n))+?)(?<=\S)\*\*"), ("_", (2,), True, r"(?<!\w)__(?=\S)((?:[^\n]|\n(?!\n))+?)(?<=\S)__(?!\w)"), ("'", (5, 3, 2), False, r"(?<!')('''''|'''|'')(?=\S)((?:[^\n]|\n(?!\n))+?)(?<=\S)\1(?!')")]
+    for mark, sizes, whole, pattern in forms:
+        for _ in range(2000):
+            pieces = [mark * rnd.choice(sizes[-2:]),  # five alone would close themselves by the pattern
+                      "a", " ", "\n", "b c"]
+            t = "".join(x if x[0] != mark or not i or p[i - 1][0] != mark else "q" for p in [[rnd.choice(pieces) for _ in range(rnd.randrange(12))]] for i, x in enumerate(p))
+            want = re.sub(pattern, lambda m: f"<{m[m.lastindex]}>", t, flags=re.DOTALL)
+            assert markup.emphasised(t, mark, sizes, lambda x: f"<{x}>", whole) == want, t
+    assert markup.between("$$a$$ $$$$ b$$ $$", "$$", "$$", lambda x: f"<{x}>") == "<a> <$$ b> $$"
+
+
+def test_unescaping_ends():
+    t = "<p>x</p>"
+    for _ in range(6):
+        t = t.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    assert markup.parse(t).kinds == {("html", "other")} or markup.parse(t).kinds == set()
+
+
+def test_unique_runs_equal_brute_force(spark):
+    rnd = random.Random(4)
+    least = 5
+    texts = {}
+    shared = ["w1 w2 w3 w4 w5 w6 w7", "x , y . z !", "p q r s"]
+    for i in range(60):
+        texts[i] = " ".join(rnd.choice([*shared, f"u{rnd.randrange(400)} v{rnd.randrange(400)}"]) for _ in range(rnd.randrange(1, 9)))
+    rows = [(h, i + 1000 * k, t, "clash", 1) for k, h in enumerate("AB") for i, t in texts.items()] + [("A", 5000, None, "", 1), ("A", 5001, "", "", 1), (None, 1, "a", "", 1), ("C", 6000, " ".join(map(str, range(9))), "", 1)]
+    df = spark.createDataFrame(rows, "host string, page long, body string, text string, at int")
+    got = {}
+    for r in boilerplate.unique_runs(df, "host", "page", "body", least).orderBy("run").collect():
+        got.setdefault((r.host, r.page), []).append(r.text)
+    want = {}
+    for h, p, t, *_ in rows:
+        words = boilerplate._TOKEN.findall(t or "")
+        if h is None or not words:
+            continue
+        others = {tuple(w[k : k + least]) for h2, p2, t2, *_ in rows if h2 == h and p2 != p for w in [boilerplate._TOKEN.findall(t2 or "")] for k in range(len(w) - least + 1)}
+        gone = {k + j for k in range(len(words) - least + 1) if tuple(words[k : k + least]) in others for j in range(least)}
+        if runs := "".join("\0" if k in gone else f" {w}" for k, w in enumerate(words)).split("\0"):
+            if kept := [x.strip() for x in runs if x.strip()]:
+                want[(h, p)] = kept
+    assert {k: [" ".join(boilerplate._TOKEN.findall(x)) for x in v] for k, v in got.items()} == want
+    assert boilerplate.unique_runs(df.limit(0), "host", "page", "body", least).count() == 0
+
+
 # 3 canonical list
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
@@ -199,6 +254,14 @@ def test_consistent_form():
         assert skeleton.consistent(same) == same
 
 
+def test_every_case_is_a_candidate():
+    rnd = random.Random(6)
+    letters = [*skeleton.PROTOTYPE, *skeleton.LOOSE_PROTOTYPE, *"abcżółęN \xa0\u200bｕﬁ²½αЖ\u0301\u0307"]
+    for _ in range(3000):
+        t = "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 9)))
+        assert skeleton.consistent(t) == t or skeleton.prototype(t) != t
+
+
 @pytest.mark.parametrize("block", [3, 4096])
 def test_cells(spark, block):
     texts = list("ustаwa ") + ["z", "̇", "e", " ", "„", *"Нова", " ", *"Заря", "”", " ", "z", "\xa0", "ο", " ", "a", "​", "b", "ｃ", "α", " ", "α"]
