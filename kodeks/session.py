@@ -1,8 +1,10 @@
-"""Session settings and the shared folder for checkpoints."""
+"""Session settings and the shared folder for tables that cut lineage."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,15 +36,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="kodeks-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", at)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(at)
     return at
 
 
+_CUTS: dict[str, str] = {}  # folder of every application's tables
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written once to the shared folder and survive lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written once as a table in the shared folder and read back: lineage ends here, lost executors cost
+    nothing, later steps read the columns they need, and Spark knows the table's size. The tables of an application lie
+    in one folder, which is removed when its driver ends."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _CUTS:
+        _CUTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/kodeks-{app}"
+        atexit.register(remove_cuts, spark)
+    at = f"{_CUTS[app]}/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def remove_cuts(spark: SparkSession) -> None:
+    """Remove the tables that ``cut`` wrote; frames that read them can't be used any more."""
+    at = _CUTS.pop(spark.sparkContext.applicationId, None) if spark.sparkContext._jsc else None
+    if at:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 PART_BYTES = 64 << 20  # what a spread partition holds at most, by the plan's own estimate
