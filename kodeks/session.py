@@ -39,7 +39,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return at
 
 
-_CUTS: dict[str, str] = {}  # folder of every application's tables
+_CUTS: dict[str, tuple] = {}  # folder of every application's tables, and what removes it
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -49,19 +49,19 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     if app not in _CUTS:
-        _CUTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/kodeks-{app}"
-        atexit.register(remove_cuts, spark)
-    at = f"{_CUTS[app]}/{uuid.uuid4().hex}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/kodeks-{app}")
+        _CUTS[app] = folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        atexit.register(remove_cuts, app)
+    at = f"{_CUTS[app][0].toString()}/{uuid.uuid4().hex}"
     df.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
-def remove_cuts(spark: SparkSession) -> None:
-    """Remove the tables that ``cut`` wrote; frames that read them can't be used any more."""
-    at = _CUTS.pop(spark.sparkContext.applicationId, None) if spark.sparkContext._jsc else None
-    if at:
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove_cuts(app: str) -> None:
+    """Remove the tables that ``cut`` wrote for an application; frames that read them can't be used any more."""
+    if app in _CUTS:
+        folder, files = _CUTS.pop(app)
+        files.delete(folder, True)
 
 
 PART_BYTES = 64 << 20  # what a spread partition holds at most, by the plan's own estimate
