@@ -38,7 +38,7 @@ def lines(pages: DataFrame) -> DataFrame:
     """One row per line with text: page_id, eli, invoke_id, page_number, area, line_no (its place in the array), of_lines,
     text. Null areas, null lines and lines without text give no row; a page that stands twice is taken once."""
     once = pages.where(F.col("page_id").isNotNull()).select("page_id", "eli", "invoke_id", F.col("page.page_number").alias("page_number"), *[F.col(f"page.{c}").alias(c) for c in AREAS.values()])
-    once = once.groupBy("page_id").agg(F.first(F.struct("eli", "invoke_id", "page_number", *[F.transform(c, lambda x: x["text"]).alias(c) for c in AREAS.values()])).alias("p")).select("page_id", "p.*")
+    once = once.groupBy("page_id").agg(F.min(F.struct("eli", "invoke_id", "page_number", *[F.transform(c, lambda x: x["text"]).alias(c) for c in AREAS.values()])).alias("p")).select("page_id", "p.*")
     parts = F.array(*[F.struct(F.lit(a).alias("area"), F.col(c).alias("texts")) for a, c in AREAS.items()])
     rows = once.select("page_id", "eli", "invoke_id", "page_number", F.explode(parts).alias("a")).select("page_id", "eli", "invoke_id", "page_number", "a.area", F.size("a.texts").alias("of_lines"), F.posexplode("a.texts").alias("line_no", "text"))
     return rows.where("length(trim(text)) > 0")
@@ -55,83 +55,109 @@ def is_page_number(text: Column, page: Column) -> Column:
     return (number != "") & F.coalesce(number.try_cast("int") == page, F.lit(False))
 
 
-def header_templates(rows: DataFrame, most: int = 2000) -> list[str]:
-    """Wordings of running headers, with # for numbers. A wording at the edge of an area counts in an act that shows it
-    on several pages, with every number the same or running on with the page's number; it is a header's where that
-    holds in at least two acts and in half of those that show it twice. The list is bounded: every wording needs acts
-    of its own."""
-    edge = (F.col("line_no") < 2) | (F.col("line_no") >= F.col("of_lines") - 2)
-    shape = rows.where(edge & F.col("text").rlike(r"\d") & ~is_page_number(F.col("text"), F.col("page_number"))).select(
+def _edge(reach: int) -> Column:
+    return (F.col("line_no") < reach) | (F.col("line_no") >= F.col("of_lines") - reach)
+
+
+def header_templates(rows: DataFrame) -> DataFrame:
+    """(t_): wordings of running headers, with # for numbers. A wording at the edge of an area counts in an act that shows
+    it on several pages, with every number the same or running on with the page's number; it is a header's where that
+    holds in at least two acts and in half of those that show it twice."""
+    shape = rows.where(_edge(2) & F.col("text").rlike(r"\d") & ~is_page_number(F.col("text"), F.col("page_number"))).select(
         "eli", "invoke_id", "page_number", _template(F.col("text")).alias("t_"), F.posexplode(F.regexp_extract_all("text", F.lit(r"(\d{1,15})"), F.lit(1))).alias("slot_", "number_")
     )
     number, page = F.col("number_").cast("long"), F.col("page_number")
-    slot = shape.groupBy("eli", "invoke_id", "t_", "slot_").agg(F.count_distinct("page_number").alias("n_"), ((F.min(number) == F.max(number)) | (F.min(number - page) == F.max(number - page))).alias("ok_"))
-    act = slot.groupBy("eli", "invoke_id", "t_").agg(F.max("n_").alias("all_"), F.when(F.bool_and("ok_"), F.max("n_")).otherwise(0).alias("same_"))
-    wording = act.groupBy("t_").agg(F.count_if(F.col("same_") > 1).alias("again_"), F.count_if(F.col("all_") > 1).alias("twice_"))
-    good = wording.where((F.col("again_") >= 2) & (F.col("again_") * 2 > F.col("twice_"))).where("length(t_) >= 6").orderBy(F.desc("again_"), "t_").limit(most + 1).collect()
-    if len(good) > most:
-        raise ValueError(f"over {most} wordings of running headers")
-    # misread variants of a wording go with it
-    return [r.t_ for r in good]
+    slot = shape.groupBy("eli", "invoke_id", "t_", "slot_").agg(
+        (F.min(page) < F.max(page)).alias("pages_"), ((F.min(number) == F.max(number)) | (F.min(number - page) == F.max(number - page))).alias("ok_")
+    )
+    act = slot.groupBy("eli", "invoke_id", "t_").agg(F.bool_or("pages_").alias("all_"), (F.bool_and("ok_") & F.bool_or("pages_")).alias("same_"))
+    wording = act.groupBy("t_").agg(F.count_if("same_").alias("again_"), F.count_if("all_").alias("twice_"))
+    return wording.where((F.col("again_") >= 2) & (F.col("again_") * 2 > F.col("twice_")) & (F.length("t_") >= 6)).select("t_")
+
+
+def _letters(t: str) -> Column:
+    return F.array_distinct(F.filter(F.split(t, r"[^\p{L}]+"), lambda w: F.length(w) > 2))
+
+
+def header_forms(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(t_): spellings at the edges within a fifth of the letters of a known wording. They are found by the words they share
+    with it, their first or their last four characters; a spelling with all of these misread is no header."""
+    spelled = rows.where(_edge(3) & (F.length("text") >= 6)).select(_template(F.col("text")).alias("t_")).distinct()
+    ends = lambda t: F.array(F.concat(F.lit("^"), F.substring(t, 1, 4)), F.concat(F.substring(t, -4, 4), F.lit("$")))
+    blocks = lambda t: F.explode(F.array_union(_letters(t), ends(t)))
+    reach = F.greatest(F.lit(1), F.floor(F.length("x_") / 5)).cast("int")
+    near = (F.abs(F.length("t_") - F.length("x_")) <= reach) & (F.levenshtein("t_", "x_") <= reach)
+    asked = known.select(F.col("t_").alias("x_"), blocks("t_").alias("b_"))
+    return spelled.select("t_", blocks("t_").alias("b_")).join(asked, "b_").where(near).select("t_").distinct()
 
 
 def classify_edges(rows: DataFrame) -> DataFrame:
-    """Lines with ``edge``: running_header, page_number or null."""
-    known = header_templates(rows)
-    t = _template(F.col("text"))
-    near = F.lit(False)
-    if known:
-        array = F.array(*[F.lit(x) for x in known])
-        squeezed = F.regexp_replace(t, r"[\d#]", "#")
-        near = F.exists(array, lambda x: F.levenshtein(squeezed, x) <= F.greatest(F.lit(1), F.floor(F.length(x) / 5)))
-    edge = (F.col("line_no") < 3) | (F.col("line_no") >= F.col("of_lines") - 3)
+    """Lines with ``edge``: running_header, page_number or null. ``rows`` is read several times and should be a table.
+    Wordings and their spellings are tables as well, whose size Spark knows when it chooses the joins."""
+    forms = cut(header_forms(rows, cut(header_templates(rows)))).withColumn("known_", F.lit(True))
     number = is_page_number(F.col("text"), F.col("page_number"))
-    return rows.withColumn("edge", F.when(number, "page_number").when(edge & (F.length("text") >= 6) & near, "running_header"))
+    t = F.when(_edge(3) & (F.length("text") >= 6), _template(F.col("text")))
+    return rows.withColumn("t_", t).join(forms, "t_", "left").withColumn("edge", F.when(number, "page_number").when(F.col("known_"), "running_header")).drop("t_", "known_")
 
 
+_BROKEN = rf"[\p{{L}}\p{{N}}!@†$€][{BREAKS}]\s*$"  # ends inside a word, or a compound at its own sign
+_UNIT = r"^\s*(?:Art\.\s*\d|§\s*\d|Rozdział\s|DZIAŁ\s|\d+[a-z]*[.)]\s|[a-z]\)\s)"
 _STRIP = r"^[^\p{L}\p{N}!@†$€]+|[^\p{L}\p{N}!@†$€]+$"
 
 
 def words(body: DataFrame) -> DataFrame:
-    """One row per word: the keys of its line, place, word in lower case without outer punctuation, and, for the last
-    word of a line that ends with a break sign, the first word of the line it continues on (``head``, null if none)."""
+    """One row per word: the keys of its line, its place, the word as it stands in lower case (``raw``), and whether it is
+    the last one of a line that ends with a break sign."""
+    split = body.select(*_KEYS, F.col("text").rlike(_BROKEN).alias("broken_"), F.split(F.trim(F.lower("text")), r"\s+").alias("ws_"))
+    return split.select(*_KEYS, "broken_", F.size("ws_").alias("of_"), F.posexplode("ws_").alias("at", "raw")).select(*_KEYS, "at", "raw", (F.col("broken_") & (F.col("at") == F.col("of_") - 1)).alias("last"))
+
+
+def bare(raw: Column) -> Column:
+    """A word without outer punctuation."""
+    return F.regexp_replace(raw, _STRIP, "")
+
+
+def broken_ends(body: DataFrame) -> DataFrame:
+    """Lines that end with a break sign: their keys, place and ``word`` of the last word, the first word of the line it
+    goes on in (``head``, null if none), ``next_no``, that line's number on the same page, and ``to_``, where it lies."""
+    text = F.trim(F.lower("text"))
+    slim = body.select(*_KEYS, "eli", "invoke_id", "page_number", F.regexp_extract(text, r"^\S+", 0).alias("first_"), F.when(F.col("text").rlike(_BROKEN), F.regexp_extract(text, r"\S+$", 0)).alias("last_"), F.when(F.col("text").rlike(_BROKEN), F.size(F.split(text, r"\s+")) - 1).alias("at"))
     w = Window.partitionBy("page_id", "area").orderBy("line_no")
-    first = F.lower(F.regexp_extract(F.col("text"), r"^\s*(\S+)", 1))
-    body = body.withColumns({"first_": first, "next_": F.lead(first).over(w), "here_": F.row_number().over(w)})
-    broken = F.col("text").rlike(rf"[\p{{L}}\p{{N}}!@†$€][{BREAKS}]\s*$")
-    onward = body.where("here_ = 1").groupBy("eli", "invoke_id", (F.col("page_number") - 1).alias("page_number"), "area").agg(F.min("first_").alias("over_"))
-    ends = body.where(broken & F.col("next_").isNull()).join(onward, ["eli", "invoke_id", "page_number", "area"], "left").select(*_KEYS, "over_")
-    body = body.join(ends, _KEYS, "left").withColumn("head", F.when(broken, F.regexp_replace(F.coalesce("next_", "over_"), _STRIP, "")))
-    split = body.select(*_KEYS, "head", broken.alias("broken_"), F.posexplode(F.split(F.trim(F.lower("text")), r"\s+")).alias("at", "raw"), F.size(F.split(F.trim(F.lower("text")), r"\s+")).alias("of_"))
-    last = F.col("broken_") & (F.col("at") == F.col("of_") - 1)
-    return split.select(*_KEYS, "at", last.alias("last"), F.when(last, F.col("head")).alias("head"), F.regexp_replace("raw", _STRIP, "").alias("word"))
+    slim = slim.withColumns({"next_": F.lead("first_").over(w), "next_no": F.lead("line_no").over(w), "here_": F.row_number().over(w)})
+    tops = slim.where("here_ = 1").groupBy("eli", "invoke_id", (F.col("page_number") - 1).alias("page_number"), "area").agg(F.min("first_").alias("over_"), F.min_by(F.struct("page_id", "line_no"), "page_id").alias("top_"))
+    ends = slim.where("last_ IS NOT NULL").join(tops, ["eli", "invoke_id", "page_number", "area"], "left")
+    word, to = bare(F.col("last_")), F.coalesce(F.when(F.col("next_no").isNotNull(), F.struct("page_id", F.col("next_no").alias("line_no"))), "top_")
+    return ends.select(*_KEYS, "at", word.alias("word"), bare(F.coalesce("next_", "over_")).alias("head"), "next_no", to.alias("to_")).where("word <> ''")
 
 
 def _corrections(rare: DataFrame, lexicon: DataFrame, ratio: int) -> DataFrame:
     """wrong and right for every rare word that one or two confusions turn into a word ``ratio`` times as frequent.
-    Ranked: fewest confusions, then the most frequent word."""
-    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(anagram_value(r) - anagram_value(w)).alias("d"), F.lit(max(len(w), len(r))).alias("c")) for w, r in _pairs()])
-    fits = rare.withColumn("f_", F.filter(table, lambda x: F.contains(F.col("word"), x["w"])))
-    one = F.transform("f_", lambda x: F.struct(x["d"].alias("d"), x["c"].alias("c"), F.lit(1).alias("k")))
-    two = F.flatten(F.transform("f_", lambda x: F.transform(F.filter(F.col("f_"), lambda y: y["d"] >= x["d"]), lambda y: F.struct((x["d"] + y["d"]).alias("d"), (x["c"] + y["c"]).alias("c"), F.lit(2).alias("k")))))
-    tries = fits.select("word", "n", anagram_hash(F.col("word")).alias("h_"), F.explode(F.array_distinct(F.concat(one, two))).alias("x_")).select("word", "n", (F.col("h_") + F.col("x_.d")).alias("h_"), F.col("x_.c").alias("c_"), F.col("x_.k").alias("k_"))
-    right = lexicon.where("n > 2").select(F.col("word").alias("right"), F.col("n").alias("m"), anagram_hash(F.col("word")).alias("h_"))
-    ok = tries.join(right, "h_").where((F.col("m") >= ratio * F.col("n")) & (F.levenshtein("word", "right") <= F.col("c_")) & (F.col("word") != F.col("right")))
-    return ok.groupBy("word").agg(F.max_by("right", F.struct(-F.col("k_"), "m", "right")).alias("right"))
-
-
-def _halves(body: DataFrame, tokens: DataFrame, over: DataFrame) -> DataFrame:
+    Ranked: fewest confusions, then the most frequent word.
+
+    One confusion: the hash of the rare word and a difference give that of the frequent one. Two: the rare word goes one
+    difference on and the frequent word one back, and the hashes meet half-way, so no word is laid out with all pairs of
+    confusions.
+    """
+    pairs = [(w, r, anagram_value(r) - anagram_value(w), max(len(w), len(r))) for w, r in _pairs()]
+    table = lambda side: F.array(*[F.struct(F.lit(p[side]).alias("s"), F.lit(p[2]).alias("d"), F.lit(p[3]).alias("c")) for p in pairs])
+    fits = lambda side, word: F.explode(F.array_distinct(F.transform(F.filter(table(side), lambda x: F.contains(word, x["s"])), lambda x: F.struct(x["d"].alias("d"), x["c"].alias("c"))))).alias("x_")
+    on = rare.select("word", "n", anagram_hash(F.col("word")).alias("h_")).select("word", "n", "h_", fits(0, F.col("word"))).select("word", "n", (F.col("h_") + F.col("x_.d")).alias("h_"), F.col("x_.c").alias("c_"))
+    right = lexicon.where(F.col("n") >= max(3, ratio)).select(F.col("word").alias("right"), F.col("n").alias("m"), anagram_hash(F.col("word")).alias("h_"))
+    ok = (F.col("m") >= ratio * F.col("n")) & (F.col("word") != F.col("right"))
+    one = on.join(right, "h_").where(ok & (F.levenshtein("word", "right") <= F.col("c_"))).select("word", "right", "m", F.lit(1).alias("k_"))
+    back = right.select("right", "m", "h_", fits(1, F.col("right"))).select("right", "m", (F.col("h_") - F.col("x_.d")).alias("h_"), F.col("x_.c").alias("b_"))
+    two = on.join(back, "h_").where(ok & (F.levenshtein("word", "right") <= F.col("c_") + F.col("b_"))).select("word", "right", "m", F.lit(2).alias("k_"))
+    return one.unionByName(two).groupBy("word").agg(F.max_by("right", F.struct(-F.col("k_"), "m", "right")).alias("right"))
+
+
+def _halves(over: DataFrame, body: DataFrame) -> DataFrame:
     """Corrections of broken words: page_id, area, line_no, at, wrong, right for the half before the break and the half
     after it, which stands first in the next line or on the next page. A half that isn't found where it should stand
     leaves both as they are; a word that nothing continues is one half."""
-    w = Window.partitionBy("page_id", "area").orderBy("line_no")
-    body = body.select(*_KEYS, "eli", "invoke_id", "page_number", F.lead("line_no").over(w).alias("next_"), F.row_number().over(w).alias("here_"))
-    tops = body.where("here_ = 1").groupBy("eli", "invoke_id", (F.col("page_number") - 1).alias("page_number"), "area").agg(F.min_by(F.struct("page_id", "line_no"), "page_id").alias("top_"))
-    place = body.join(tops, ["eli", "invoke_id", "page_number", "area"], "left").select(*_KEYS, F.coalesce(F.when(F.col("next_").isNotNull(), F.struct("page_id", F.col("next_").alias("line_no"))), "top_").alias("to_"))
     tail, head, right = F.col("tail"), F.col("head"), F.col("right")
     at = F.when(F.startswith(right, tail), F.length(tail)).when(F.endswith(right, head), F.length(right) - F.length(head)).otherwise(F.least(F.length(tail), F.length(right) - 1))
-    split = over.where("right IS NOT NULL").join(place, _KEYS, "left").withColumn("cut_", F.when(head.isNull(), F.length(right)).otherwise(at))
-    first = tokens.where("at = 0").select(F.struct("page_id", "line_no").alias("to_"), "area", F.col("word").alias("head"), F.lit(True).alias("found_")).distinct()
+    split = over.where("right IS NOT NULL").withColumn("cut_", F.when(head.isNull(), F.length(right)).otherwise(at))
+    first = body.select(F.struct("page_id", "line_no").alias("to_"), "area", bare(F.regexp_extract(F.trim(F.lower("text")), r"^\S+", 0)).alias("head"), F.lit(True).alias("found_"))
     split = split.join(first, ["to_", "area", "head"], "left").where("head IS NULL OR found_")
     before = split.select(*_KEYS, "at", tail.alias("wrong"), F.substring("right", F.lit(1), F.col("cut_")).alias("right"))
     after = split.where("head IS NOT NULL").select("to_.page_id", "area", "to_.line_no", F.lit(0).alias("at"), head.alias("wrong"), F.substring("right", F.col("cut_") + 1, F.length("right")).alias("right"))
@@ -189,49 +215,49 @@ def find_noise(pages: DataFrame, ratio: int = 5) -> tuple[DataFrame, DataFrame,
     Words are counted before they are shuffled, so frequent words aren't hot; lines of an act meet only by page. An
     empty table gives no rows.
     """
-    rows = cut(classify_edges(lines(pages)))
+    rows = cut(classify_edges(cut(lines(pages))))
     body = rows.where("edge IS NULL")
-    tokens = cut(words(body).where("word <> ''"))
-    # the first word of a line that continues a broken one is no word of its own
-    heads = tokens.where("last AND head IS NOT NULL").groupBy("head").agg(F.count("*").alias("k_"))
-    counts = tokens.where("NOT last").groupBy("word").agg(F.count("*").alias("n_")).join(heads, F.col("word") == F.col("head"), "left")
+    tokens = words(body)
+    ends = cut(broken_ends(body))
+    # words are counted as they stand, so outer punctuation is taken off once for every spelling; the first word of a line
+    # that continues a broken one is no word of its own
+    spelled = cut(tokens.where("NOT last").groupBy("raw").agg(F.count("*").alias("n_")).withColumn("word", bare(F.col("raw"))).where("word <> ''"))
+    heads = ends.where("head IS NOT NULL").groupBy("head").agg(F.count("*").alias("k_"))
+    counts = spelled.groupBy("word").agg(F.sum("n_").alias("n_")).join(heads, F.col("word") == F.col("head"), "left")
     lexicon = cut(counts.select("word", (F.col("n_") - F.coalesce("k_", F.lit(0))).alias("n")).where("n > 0 AND word RLIKE '\\\\p{L}'"))
 
     # broken words: as one word, or as a compound?
     tail = F.regexp_replace("word", rf"[{BREAKS}]+$", "")
-    ends = tokens.where("last").withColumn("tail", tail).withColumns({"joined": F.concat("tail", F.coalesce("head", F.lit(""))), "compound": F.concat("tail", F.lit("-"), F.coalesce("head", F.lit("")))})
+    ends = ends.withColumn("tail", tail).withColumns({"joined": F.concat("tail", F.coalesce("head", F.lit(""))), "compound": F.concat("tail", F.lit("-"), F.coalesce("head", F.lit("")))})
+    hyphened = lexicon.where(F.col("word").contains("-"))
     n_joined = lexicon.select(F.col("word").alias("joined"), F.col("n").alias("nj_"))
-    n_compound = lexicon.where(F.col("word").contains("-")).select(F.col("word").alias("compound"), F.col("n").alias("nc_"))
-    first_part = lexicon.where(F.col("word").contains("-")).groupBy(F.substring_index("word", "-", 1).alias("tail")).agg(F.sum("n").alias("np_"))
-    second_part = lexicon.where(F.col("word").contains("-")).groupBy(F.substring_index("word", "-", -1).alias("head")).agg(F.sum("n").alias("ns_"))
+    n_compound = hyphened.select(F.col("word").alias("compound"), F.col("n").alias("nc_"))
+    first_part = hyphened.groupBy(F.substring_index("word", "-", 1).alias("tail")).agg(F.sum("n").alias("np_"))
+    second_part = hyphened.groupBy(F.substring_index("word", "-", -1).alias("head")).agg(F.sum("n").alias("ns_"))
     ends = ends.join(n_joined, "joined", "left").join(n_compound, "compound", "left").join(first_part, "tail", "left").join(second_part, "head", "left")
     none = lambda c: F.coalesce(c, F.lit(0))
     is_compound = F.when(none("nc_") + none("nj_") > 0, none("nc_") > none("nj_")).otherwise((none("np_") > 0) & ((none("ns_") > 0) | F.col("head").isNull()))
     continues = F.col("head").isNull() | F.col("head").rlike(r"^[\p{L}\p{N}!@†$€]")
-    ends = ends.withColumn("hyphenation", continues & ~is_compound)
+    ends = cut(ends.withColumn("hyphenation", continues & ~is_compound).select(*_KEYS, "at", "next_no", "to_", "tail", "head", "joined", "hyphenation"))
 
     # misread words, of lines and of words joined over lines
-    whole = ends.where("hyphenation").select(*_KEYS, "at", "tail", "head", F.col("joined").alias("word"))
-    loose = lexicon.unionByName(whole.groupBy("word").agg(F.lit(0).cast("long").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))
+    whole = ends.where("hyphenation").select(*_KEYS, "at", "next_no", "to_", "tail", "head", F.col("joined").alias("word"))
+    loose = lexicon.unionByName(whole.select("word").distinct().select("word", F.lit(0).cast("long").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))
     rare = loose.select("word", F.greatest("n", F.lit(1)).alias("n"))
-    fixes = _corrections(rare, lexicon, ratio)
-    sign = F.col("word").rlike(r"\p{L}[!@†$€]|[!@†$€]\p{L}|\p{L}\d+\p{L}")
-    signs = rare.where(sign).select("word")
-    wrong = cut(fixes.join(signs.withColumn("sign_", F.lit(True)), "word", "full").select("word", "right"))
-    continued = tokens.where("last AND head IS NOT NULL").select("page_id", "area", F.col("line_no").alias("l_"), "head")
-    plain = tokens.where("NOT last").join(wrong, "word").select(*_KEYS, F.col("word").alias("wrong"), "right", "at")
+    signs = rare.where(F.col("word").rlike(r"\p{L}[!@†$€]|[!@†$€]\p{L}|\p{L}\d+\p{L}")).select("word", F.lit(True).alias("sign_"))
+    wrong = cut(_corrections(rare, lexicon, ratio).join(signs, "word", "full").select("word", "right"))
+    misspelled = cut(spelled.join(wrong, "word").select("raw", F.col("word").alias("wrong"), "right"))
+    plain = tokens.where("NOT last").join(misspelled, "raw").select(*_KEYS, "wrong", "right", "at")
     # the first word of a continuation is judged with the word it ends
-    nextline = rows.where("edge IS NULL").select(*_KEYS, F.lag("line_no").over(Window.partitionBy("page_id", "area").orderBy("line_no")).alias("l_"))
-    taken = nextline.join(continued, ["page_id", "area", "l_"]).select(*_KEYS, F.lit(0).alias("at"))
+    taken = ends.where("head IS NOT NULL AND next_no IS NOT NULL").select("page_id", "area", F.col("next_no").alias("line_no"), F.lit(0).alias("at"))
     plain = plain.join(taken, [*_KEYS, "at"], "left_anti")
     over = whole.join(wrong, "word")
     in_tail = ~F.coalesce(F.startswith(F.col("right"), F.col("tail")), F.col("head").isNull() | F.col("tail").rlike(r"[!@†$€]|\d"))
     in_head = ~F.coalesce(F.endswith(F.col("right"), F.col("head")), ~F.col("head").rlike(r"[!@†$€]|\d"))
-    tails = over.where(in_tail | F.col("right").isNull() & F.col("tail").rlike(r"[!@†$€]|\p{L}\d")).select(*_KEYS, F.col("tail").alias("wrong"), F.col("right"))
-    heads_wrong = over.where(in_head & ~in_tail).select("page_id", "area", F.col("line_no").alias("l_"), F.col("head").alias("wrong"), F.col("right"))
-    heads_wrong = heads_wrong.join(nextline, ["page_id", "area", "l_"]).select(*_KEYS, "wrong", "right")
-    misread = plain.select(*_KEYS).unionByName(tails.select(*_KEYS)).unionByName(heads_wrong.select(*_KEYS))
-    fixes = plain.where("right IS NOT NULL").select(*_KEYS, "at", "wrong", "right").unionByName(_halves(body, tokens, over))
+    tails = over.where(in_tail | F.col("right").isNull() & F.col("tail").rlike(r"[!@†$€]|\p{L}\d")).select(*_KEYS)
+    heads_wrong = over.where(in_head & ~in_tail & F.col("next_no").isNotNull()).select("page_id", "area", F.col("next_no").alias("line_no"))
+    misread = plain.select(*_KEYS).unionByName(tails).unionByName(heads_wrong)
+    fixes = plain.where("right IS NOT NULL").select(*_KEYS, "at", "wrong", "right").unionByName(_halves(over, body))
     kind = lambda df, k: df.select(*_KEYS, F.lit(k).alias("noise"))
     noise = kind(ends.where("hyphenation"), "hyphenation").unionByName(kind(misread, "misread")).distinct().unionByName(rows.where("edge IS NOT NULL").select(*_KEYS, F.col("edge").alias("noise")))
     return rows, noise, fixes
@@ -239,14 +265,17 @@ def find_noise(pages: DataFrame, ratio: int = 5) -> tuple[DataFrame, DataFrame,
 
 def repaired(pages: DataFrame) -> DataFrame:
     """Continuous text of the areas: headers and page numbers gone, broken words joined, misread words replaced by their
-    correction at their place. An area whose last word goes on on the next page has the text of that page too, up to
+    correction at their place, a line break before every unit of the act and nowhere else. An area whose last word goes on on the next page has the text of that page too, up to
     ``last_page``; ``open_end`` says that it ran over its page, and with last_page = page_number that nothing continues it."""
     rows, noise, corrections = find_noise(pages)
     fixes = corrections.groupBy(*_KEYS).agg(F.collect_set(F.struct("at", "wrong", "right")).alias("fixes"))
     joins = noise.where("noise = 'hyphenation'").select(*_KEYS, F.lit(True).alias("joins"))
     body = rows.where("edge IS NULL").join(fixes, _KEYS, "left").join(joins, _KEYS, "left")
     fixed = _corrected(F.col("text"), F.col("fixes"))
-    piece = F.when(F.col("joins"), F.regexp_replace(fixed, rf"[{BREAKS}]\s*$", "")).otherwise(F.concat(fixed, F.lit(" ")))
-    got = body.select("page_id", "eli", "invoke_id", "page_number", "area", F.struct("line_no", piece.alias("t"), F.coalesce("joins", F.lit(False)).alias("j")).alias("x"))
-    areas = got.groupBy("page_id", "area").agg(F.first("eli").alias("eli"), F.first("invoke_id").alias("invoke_id"), F.first("page_number").alias("page_number"), F.array_sort(F.collect_list("x")).alias("xs")).select("page_id", "eli", "invoke_id", "page_number", "area", F.trim(F.array_join(F.transform("xs", lambda x: x["t"]), "")).alias("text"), F.element_at("xs", -1)["j"].alias("open_end"))
+    # a broken word loses its sign, a compound that breaks at its own keeps it, and neither gets a blank
+    broken = F.col("text").rlike(_BROKEN)
+    piece = F.when(F.col("joins"), F.regexp_replace(fixed, rf"[{BREAKS}]\s*$", "")).when(broken, F.rtrim(fixed)).otherwise(F.concat(fixed, F.lit(" ")))
+    piece = F.concat(F.when((F.col("area") == "paragraph") & (F.col("line_no") > 0) & F.col("text").rlike(_UNIT), F.lit("\n")).otherwise(F.lit("")), piece)
+    got = body.select("page_id", "eli", "invoke_id", "page_number", "area", F.struct("line_no", piece.alias("t"), (F.coalesce("joins", F.lit(False)) | broken).alias("j")).alias("x"))
+    areas = got.groupBy("page_id", "area").agg(F.min(F.struct("eli", "invoke_id", "page_number")).alias("k"), F.array_sort(F.collect_list("x")).alias("xs")).select("page_id", "k.*", "area", F.trim(F.regexp_replace(F.array_join(F.transform("xs", lambda x: x["t"]), ""), r" *\n", "\n")).alias("text"), F.element_at("xs", -1)["j"].alias("open_end"))
     return _chained(cut(areas))

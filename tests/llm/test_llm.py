@@ -306,7 +306,7 @@ def test_scan_noise(spark):
     noise = scan.find_noise(df.unionByName(df))[1].collect()
     assert len(noise) == len(set(noise)) and sum(r.noise == "running_header" for r in noise) == 10 and not any(r.line_no == 0 and r.area == "footer" and r.page_id < 99 for r in noise)
     texts = {(r.page_id, r.area): (r.text, r.open_end) for r in scan.repaired(df).collect()}
-    assert texts[(99, "paragraph")][0].startswith("Starosta kontroluje rejestr m!ynów wodno- lądowy charakter prac") and texts[(99, "paragraph")][1]
+    assert texts[(99, "paragraph")][0].startswith("Starosta kontroluje rejestr m!ynów wodno-lądowy charakter prac") and texts[(99, "paragraph")][1]
     assert scan.find_noise(df.limit(0))[1].count() == 0
 
 
