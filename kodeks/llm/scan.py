@@ -138,8 +138,8 @@ def _corrections(rare: DataFrame, lexicon: DataFrame, ratio: int) -> DataFrame:
     difference on and the frequent word one back, and the hashes meet half-way, so no word is laid out with all pairs of
     confusions.
     """
-    pairs = [(w, r, anagram_value(r) - anagram_value(w), max(len(w), len(r))) for w, r in _pairs()]
-    table = lambda side: F.array(*[F.struct(F.lit(p[side]).alias("s"), F.lit(p[2]).alias("d"), F.lit(p[3]).alias("c")) for p in pairs])
+    pairs = [((w, r), anagram_value(r) - anagram_value(w), max(len(w), len(r))) for w, r in _pairs()]
+    table = lambda side: F.expr("array(" + ", ".join(f"named_struct('s', '{p[side]}', 'd', {d}L, 'c', {c})" for p, d, c in pairs) + ")")
     fits = lambda side, word: F.explode(F.array_distinct(F.transform(F.filter(table(side), lambda x: F.contains(word, x["s"])), lambda x: F.struct(x["d"].alias("d"), x["c"].alias("c"))))).alias("x_")
     on = rare.select("word", "n", anagram_hash(F.col("word")).alias("h_")).select("word", "n", "h_", fits(0, F.col("word"))).select("word", "n", (F.col("h_") + F.col("x_.d")).alias("h_"), F.col("x_.c").alias("c_"))
     right = lexicon.where(F.col("n") >= max(3, ratio)).select(F.col("word").alias("right"), F.col("n").alias("m"), anagram_hash(F.col("word")).alias("h_"))
