@@ -42,10 +42,15 @@ def id_range(c: Column) -> Column:
     )
 
 
+# Notes that stand for a unit no longer in force, and the long form of such a note.
+REPEALED = ["(uchylony)", "(uchylona)", "(uchylone)", "(pominięte)", "(pominięty)", "(utraciłmoc)"]
+REPEALED_LONG = r"(?s)^\s*\(\s*zawierający.*?[–-]\s*(uchylony|uchylone|uchylona|pominięte|pominięty|utracił moc)\s*\)\s*$"
+
+
 def in_force(c: Column) -> Column:
     """Not merely a note that the unit was repealed or expired. Null counts as in force."""
-    t = F.regexp_replace(F.regexp_replace(c, r"[⁰¹²³⁴⁵⁶⁷⁸⁹]+⁾⁽?", ""), r"(?U)\s+", "")
-    return ~F.coalesce(t.isin("(uchylony)", "(uchylona)", "(uchylone)", "(pominięty)", "(pominięte)", "(pominięta)", "(utraciłmoc)", "(skreślony)"), F.lit(False))
+    t = F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", ""), r"[⁰¹²³⁴⁵⁶⁷⁸⁹]+⁾⁽?", "")
+    return ~F.coalesce(t.isin(*REPEALED) | c.rlike(REPEALED_LONG), F.lit(False))
 
 
 def ascending(ids: Column) -> Column:

@@ -21,10 +21,16 @@ def islands(df: DataFrame, by: list[str], start: str, end: str, ties: list[str],
     return df.withColumn("break_", breaks).withColumn("island_id", F.sum("break_").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("break_")
 
 
-def gaps(df: DataFrame, by: list[str], start: str, end: str, ties: list[str]) -> DataFrame:
-    """Complement: what no interval covers between the first and the last one."""
+def gaps(df: DataFrame, by: list[str], start: str, end: str, ties: list[str], bounds: tuple[Column, Column] | None = None) -> DataFrame:
+    """Complement: what no interval covers, between the first and the last one or, with ``bounds`` (columns that are the same
+    in all rows of a group), between these."""
     order = Window.partitionBy(*by).orderBy(start, end, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("gap_start", F.max(end).over(order)).where(F.col("gap_start") < F.col(start)).select(*by, "gap_start", F.col(start).alias("gap_end"))
+    lo = F.max(end).over(order) if bounds is None else F.greatest(F.max(end).over(order), bounds[0])
+    inner = df.withColumn("gap_start", lo).where(F.col("gap_start") < F.col(start)).select(*by, "gap_start", F.col(start).alias("gap_end"))
+    if bounds is None:
+        return inner
+    last = df.groupBy(*by).agg(F.greatest(F.max(end), F.max(bounds[0])).alias("gap_start"), F.max(bounds[1]).alias("gap_end")).where("gap_start < gap_end")
+    return inner.unionByName(last)
 
 
 def sessions(df: DataFrame, by: list[str], order: str, new: Column) -> DataFrame:
@@ -34,10 +40,18 @@ def sessions(df: DataFrame, by: list[str], order: str, new: Column) -> DataFrame
     return df.withColumn("new_", flag).withColumn("session_no", F.sum("new_").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("new_")
 
 
-def sliding_count(df: DataFrame, by: list[str], ts: str, seconds: int, name: str = "n_window") -> DataFrame:
-    """Events of the last ``seconds`` up to and with each row; an event exactly that old no longer counts."""
-    w = Window.partitionBy(*by).orderBy(F.unix_micros(ts)).rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    return df.withColumn(name, F.count("*").over(w))
+def sliding_count(df: DataFrame, by: list[str], ts: str, seconds: int, name: str = "n_window", blocks: int = 20) -> DataFrame:
+    """Events of the last ``seconds`` up to and with each row; an event exactly that old no longer counts.
+
+    Time is cut into blocks of ``blocks`` times the window. An event counts in its block and, where it may still be in the
+    window of one there, in the next; so a key with a third of all events is many groups and each window one block."""
+    size = seconds * 1_000_000
+    t = F.unix_micros(ts)
+    own = F.floor(t / (size * blocks))
+    late = t >= (own + 1) * (size * blocks) - size
+    rows = df.withColumns({"t_": t, "b_": own}).withColumn("e_", F.explode(F.when(late, F.array("b_", F.col("b_") + 1)).otherwise(F.array("b_"))))
+    w = Window.partitionBy(*by, "e_").orderBy("t_").rangeBetween(-(size - 1), 0)
+    return rows.withColumn(name, F.count("*").over(w)).where("b_ = e_").drop("t_", "b_", "e_")
 
 
 def overlap(a: DataFrame, b: DataFrame, by: list[str], width: float, start: str = "lo", end: str = "hi") -> DataFrame:

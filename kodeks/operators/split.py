@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 # Where a unit of each level begins, and its identifier.
 HEADS = {
-    "title": (r"(?m)(?=^T\s*Y\s*T\s*U\s*Ł\s+[IVXLC]+)", r"^T\s*Y\s*T\s*U\s*Ł\s+([IVXLC]+)"),
-    "part": (r"(?=DZIAŁ\s+[IVXLC]+\b)", r"^DZIAŁ\s+([IVXLC]+)"),
-    "chapter": (r"(?<!„)(?=Rozdział\s+[0-9a-zA-Z]+)", r"^Rozdział\s+([0-9a-zA-Z]+)"),
+    "title": (r"(?m)(?=^T\s*Y\s*T\s*U\s*Ł\s+[IVXLCDM]+)", r"^T\s*Y\s*T\s*U\s*Ł\s+([IVXLCDM]+)"),
+    "part": (r"(?=DZIAŁ\s+(?:[IVXLCDM]+|[A-ZĄĆĘŁŃÓŚŹŻ]+))", r"^DZIAŁ\s+([IVXLCDM]+|[A-ZĄĆĘŁŃÓŚŹŻ]+)"),
+    "chapter": (r"(?<!„)(?=R\s*o\s*z\s*d\s*z\s*i\s*a\s*[łl]\s+[0-9a-zA-Z]+)", r"^R\s*o\s*z\s*d\s*z\s*i\s*a\s*[łl]\s+([0-9a-zA-Z]+)"),
     "article": (r"(?=\bArt\.\s\d+[a-z]*\.\s)", r"^Art\.\s(\d+[a-z]*)\.\s"),
-    "section": (r"(?m)(?<!ust\.\s)(?<!art\.\s)(?=^\d+[a-z]*\.\s[\p{Lu}\[<])", r"^(\d+[a-z]*)\.\s"),
+    "section": (r"(?m)(?<![-–]\s?)(?<!\s(?:art|ust|poz|str)\.\s)(?<!\s(?:pkt|lub|albo|i)\s)(?:^|(?<=Art\.\s\d{1,4}[a-z]{0,3}\.\s))(?=\d+[a-z]*\.\s[\p{Lu}\[<])", r"^(\d+[a-z]*)\.\s"),
     "point": (r"(?m)(?=^\d+[a-z]*\)\s)", r"^(\d+[a-z]*)\)\s"),
     "letter": (r"(?m)(?=^[a-z]{1,2}\)\s)", r"^([a-z]{1,2})\)\s"),
 }
@@ -73,17 +73,3 @@ def select_units(units: DataFrame, keys: list[str], order: str, wanted: DataFram
     asked = asked.withColumn("error", F.when(~n.isin(1, 2), "bad_arity").when(F.col("start_").isNull(), F.when(n == 1, "not_found").otherwise("start_not_found")).when(F.col("end_").isNull(), "end_not_found"))
     found = asked.where("error IS NULL").join(units.select(*keys, order, "unit_id"), keys).where(F.col(order).between(F.col("start_"), F.col("end_"))).select(*keys, "ids", order, "unit_id", "error")
     return found.unionByName(asked.where("error IS NOT NULL").select(*keys, "ids", "error"), allowMissingColumns=True)
-
-
-def change_segments(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Stretches of a text by the state of its wording: [..] holds until a change, <..> after it, the rest in any case.
-    keys, seg_no, status, segment (without its brackets)."""
-    parts = F.filter(F.split(text, r"(?=[\[<])|(?<=[\]>])"), lambda x: x != "")
-    rows = df.where(F.length(text) > 0).select(*keys, F.posexplode(parts).alias("seg_no", "raw_"))
-    status = F.when(F.col("raw_").rlike(r"(?s)^\[.*\]$"), "BEFORE_UPCOMING_CHANGE").when(F.col("raw_").rlike(r"(?s)^<.*>$"), "UPCOMING_CHANGE").otherwise("NOT_MATCH_CHANGE")
-    return rows.select(*keys, "seg_no", status.alias("status"), F.when(status == "NOT_MATCH_CHANGE", F.col("raw_")).otherwise(F.substring("raw_", F.lit(2), F.length("raw_") - 2)).alias("segment"))
-
-
-def current_text(text: Column) -> Column:
-    """Wording now in force: coming text dropped, current text without its brackets."""
-    return F.regexp_replace(F.regexp_replace(text, r"<[^<>]*>", ""), r"\[([^\[\]]*)\]", "$1")

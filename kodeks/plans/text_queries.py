@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kodeks.functions import text as T
-from kodeks.operators import match, split
+from kodeks.operators import match, split, structure
 from kodeks.operators.nested import reference_tables
 from kodeks.plans.registry import Registry
 from kodeks.session import table
@@ -176,14 +176,69 @@ def split_points(spark, sf):
     return split.split_units(_page_text(spark, sf), ["page_id"], "t", "point")
 
 
-@query()
+_SEGMENTS = f"""(SELECT page_id, i - 1 AS seg_no, CAST(coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(p[i]) AS n, p[i] AS raw,
+ CASE WHEN regexp_full_match(p[i], '\\[[^\\[\\]<>]*\\]') THEN 'BEFORE_UPCOMING_CHANGE' WHEN regexp_full_match(p[i], '<[^\\[\\]<>]*>') THEN 'UPCOMING_CHANGE' ELSE 'NOT_MATCH_CHANGE' END AS status
+ FROM (SELECT page_id, p, unnest(generate_series(1, len(p))) AS i FROM (SELECT page_id, regexp_extract_all(t, '\\[[^\\[\\]<>]*\\]|<[^\\[\\]<>]*>|[^\\[<]+|[\\[<]') AS p FROM {_PAGE_TEXT})))"""
+
+
+@query(f"SELECT page_id, seg_no, a AS start_at, a + n - 1 AS end_at, status, CASE WHEN status = 'NOT_MATCH_CHANGE' THEN raw ELSE substr(raw, 2, n - 2) END AS segment FROM {_SEGMENTS}")
 def change_segments(spark, sf):
-    return split.change_segments(table(spark, sf, "questions").select("nro", "answer_content").distinct(), ["nro"], "answer_content")
+    s = structure.segments(_page_text(spark, sf), ["page_id"], "t")
+    return s.select("page_id", *[F.col(c).cast("long").alias(n) for c, n in (("seg_no", "seg_no"), ("start", "start_at"), ("end", "end_at"))], "status", "segment")
 
 
-@query("SELECT DISTINCT nro, regexp_replace(regexp_replace(answer_content, '<[^<>]*>', '', 'g'), '\\[([^\\[\\]]*)\\]', '\\1', 'g') AS in_force FROM questions WHERE answer_content IS NOT NULL")
+@query(f"SELECT page_id, string_agg(CASE WHEN status = 'NOT_MATCH_CHANGE' THEN raw ELSE substr(raw, 2, n - 2) END, '' ORDER BY seg_no) AS in_force FROM {_SEGMENTS} WHERE status <> 'UPCOMING_CHANGE' GROUP BY page_id")
 def current_text(spark, sf):
-    return table(spark, sf, "questions").where("answer_content IS NOT NULL").select("nro", split.current_text(F.col("answer_content")).alias("in_force")).distinct()
+    """Characters that are in force now, put together from the painted text of a page."""
+    chars = structure.painted(_page_text(spark, sf), ["page_id"], "t").where("status <> 'UPCOMING_CHANGE'")
+    return chars.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("char_no", "letter"))), lambda x: x["letter"]), "").alias("in_force"))
+
+
+_ACT_LINES = r"""ls AS (SELECT eli, invoke_id, pn, page_id, i, k, ps[k] AS line FROM (SELECT *, unnest(generate_series(1, len(ps))) AS k FROM (SELECT eli, invoke_id, pn, page_id, i,
+ string_split(regexp_replace(regexp_replace(regexp_replace(trim(l.text), '([.!?;,]) (Art[.] [0-9]+[a-z]*[.] )', '\1' || chr(10) || '\2', 'g'), '(^|\n)(Art[.] [0-9]+[a-z]*[.]) ([0-9]+[a-z]*[.)] )', '\1\2' || chr(10) || '\3', 'g'), '(^|\n)([0-9]+[a-z]*[.]) ([0-9]+[a-z]*[)] )', '\1\2' || chr(10) || '\3', 'g'), chr(10)) AS ps
+ FROM (SELECT DISTINCT eli, invoke_id, page.page_number AS pn, page_id, unnest(page.paragraph_lines) AS l, generate_subscripts(page.paragraph_lines, 1) AS i FROM act_pages) WHERE length(trim(l.text)) > 0))),
+num AS (SELECT *, row_number() OVER (PARTITION BY eli, invoke_id ORDER BY pn, page_id, i, k) AS r FROM ls),
+g AS (SELECT *, lag(line) OVER (PARTITION BY eli, invoke_id ORDER BY r) AS prev FROM num),
+h AS (SELECT eli, invoke_id, r, line, CASE WHEN regexp_matches(line, '^[\[<]?\s*Art[.]?\s*[0-9]+[a-zA-ZĄĆĘŁŃÓŚŹŻąćęłńóśźż]*[.]') THEN r END AS a,
+ CASE WHEN regexp_matches(line, '^[\[<]?\s*[0-9]{1,2}[a-zA-ZĄĆĘŁŃÓŚŹŻąćęłńóśźż]{0,4}[.]\s*[A-ZĄĆĘŁŃÓŚŹŻ(\[<]') AND NOT coalesce(regexp_matches(prev, '([-–]|\s(art[.]|ust[.]|poz[.]|str[.]|pkt|lub|albo|i))\s*$'), FALSE) THEN r END AS s,
+ CASE WHEN regexp_matches(line, '^[\[<]?\s*[0-9]+[a-zA-ZĄĆĘŁŃÓŚŹŻąćęłńóśźż]*[)]\s*') AND NOT coalesce(regexp_matches(prev, '([-–]|\s(s[.]|i)|(str[.]|pkt|ust[.]|art[.]|poz[.]))\s*$'), FALSE) THEN r END AS p FROM g),
+c AS (SELECT eli, invoke_id, r, line, max(a) OVER w AS a, max(s) OVER w AS s, max(p) OVER w AS p FROM h WINDOW w AS (PARTITION BY eli, invoke_id ORDER BY r ROWS UNBOUNDED PRECEDING)),
+v AS (SELECT eli, invoke_id, r, line, a, CASE WHEN s > a THEN s END AS s, CASE WHEN p > a AND (s IS NULL OR p > s) THEN p END AS p FROM c WHERE a IS NOT NULL),
+am AS (SELECT eli, invoke_id, a FROM v GROUP BY ALL HAVING contains(string_agg(line, ' ' ORDER BY r), 'wprowadza się następujące zmiany')),
+u AS (SELECT eli, invoke_id, a, s, p, arg_min(line, r) AS head, regexp_replace(string_agg(line, chr(10) ORDER BY r), '^[\[<]?\s*(Art[.]?\s*)?[0-9]+\p{L}*[.)]\s*', '') AS body FROM v WHERE NOT EXISTS (SELECT 1 FROM am WHERE am.eli = v.eli AND am.invoke_id = v.invoke_id AND am.a = v.a) GROUP BY eli, invoke_id, a, s, p)"""
+
+
+def _unit_sql(level: str) -> str:
+    own = {"article": "s IS NULL AND p IS NULL", "section": "s IS NOT NULL AND p IS NULL", "point": "p IS NOT NULL"}[level]
+    return f"WITH {_ACT_LINES} SELECT eli, invoke_id, regexp_extract(head, '([0-9]+[a-zA-ZĄĆĘŁŃÓŚŹŻąćęłńóśźż]*)', 1) AS unit_id, nullif(trim(body), '') AS body FROM u WHERE {own}"
+
+
+def _units(spark, sf, level):
+    units = structure.act_units(table(spark, sf, "act_pages"))[0]
+    return units.where(F.col("level") == level).select("eli", "invoke_id", "unit_id", "body")
+
+
+@query(_unit_sql("article"))
+def act_articles(spark, sf):
+    """Articles of acts over their pages, up to the first section or point. The tables hold no titles, parts, chapters or
+    repealed units, so the SQL leaves their rules out; tests cover these."""
+    return _units(spark, sf, "article")
+
+
+@query(_unit_sql("section"))
+def act_sections(spark, sf):
+    return _units(spark, sf, "section")
+
+
+@query(_unit_sql("point"))
+def act_points(spark, sf):
+    return _units(spark, sf, "point")
+
+
+@query()
+def act_unit_errors(spark, sf):
+    """Articles with sections and points of their own, and units whose numbers fall."""
+    return structure.act_units(table(spark, sf, "act_pages"))[1]
 
 
 @query(f"SELECT page_id, regexp_extract(t, '^Art[.] ([0-9]+[a-z]*)[.]', 1) AS unit_id, regexp_replace(t, '^Art[.] [0-9]+[a-z]*[.]\\s*', '') AS body FROM {_PAGE_TEXT} WHERE regexp_matches(t, '^Art[.] [0-9]+[a-z]*[.]')")

@@ -139,14 +139,7 @@ def test_splitters(spark):
     points = [r.unit_id for r in split.split_units(df, ["k"], "t", "point").where("k = 1").orderBy("unit_no").collect()]
     assert points == [None, "1", "2"]
     sections = [r.unit_id for r in split.split_units(df, ["k"], "t", "section").where("k = 1").orderBy("unit_no").collect()]
-    assert sections == [None, "2"]
-
-
-def test_pending_changes(spark):
-    df = spark.createDataFrame([(1, "Art. 5. [stary tekst] <nowy tekst> wspólny")], "k int, t string")
-    rows = split.change_segments(df, ["k"], "t").orderBy("seg_no").collect()
-    assert [(r.status, r.segment) for r in rows] == [("NOT_MATCH_CHANGE", "Art. 5. "), ("BEFORE_UPCOMING_CHANGE", "stary tekst"), ("NOT_MATCH_CHANGE", " "), ("UPCOMING_CHANGE", "nowy tekst"), ("NOT_MATCH_CHANGE", " wspólny")]
-    assert df.select(split.current_text(F.col("t"))).first()[0] == "Art. 5. stary tekst  wspólny"
+    assert sections == [None, "1", "2"]
 
 
 def test_retry_and_dead_letters(spark):
