@@ -75,3 +75,34 @@ def route(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """(good rows, failed rows); a null verdict is a failure."""
     good = F.coalesce(ok, F.lit(False))
     return df.where(good), df.where(~good)
+
+
+def drop_suffix(df: DataFrame, suffix: str) -> DataFrame:
+    """Without the columns whose names end with ``suffix``."""
+    return df.drop(*[c for c in df.columns if c.endswith(suffix)])
+
+
+def strip_suffix(df: DataFrame, suffix: str) -> DataFrame:
+    """Columns whose names end with ``suffix`` renamed to what stands before it; where that name is taken they stay."""
+    return df.withColumnsRenamed({c: c.removesuffix(suffix) for c in df.columns if c.endswith(suffix) and c.removesuffix(suffix) not in df.columns and c != suffix})
+
+
+def tagged(df: DataFrame, key: str, kinds: dict[str, list[str]]) -> DataFrame:
+    """(key, type, json): rows as objects with a type tag. The type of a row is the first of ``kinds`` (type to columns)
+    whose columns are all there; the object holds these columns only."""
+    have = {k: reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]) for k, cols in kinds.items()}
+    tag = F.coalesce(*[F.when(c, F.lit(k)) for k, c in have.items()])
+    body = F.coalesce(*[F.when(c, F.to_json(F.struct(F.lit(k).alias("type"), *kinds[k]))) for k, c in have.items()])
+    return df.select(key, tag.alias("type"), body.alias("json"))
+
+
+def untagged(df: DataFrame, key: str, schema: str) -> DataFrame:
+    """Objects with a type tag as columns of ``schema``; fields that a type lacks are null."""
+    return df.select(key, "type", F.from_json("json", schema).alias("x")).select(key, "type", "x.*")
+
+
+def assignments(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, expression, names, values) of an update that sets the columns which aren't null: ``SET a = :a, b = :b``."""
+    names = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in columns]))
+    values = F.array_compact(F.array(*[F.col(c).cast("string") for c in columns]))
+    return df.select(key, F.concat(F.lit("SET "), F.array_join(F.transform(names, lambda n: F.concat(n, F.lit(" = :"), n)), ", ")).alias("expression"), names.alias("names"), values.alias("values")).where("size(names) > 0")

@@ -58,7 +58,7 @@ marked AS (SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(t) OVER w IS NOT DI
 grouped AS (SELECT *, sum(b) OVER (PARTITION BY eli, eli_annotation ORDER BY n ROWS UNBOUNDED PRECEDING) AS g FROM marked)
 """
 # The bodies in SQL: decoded, unwrapped, and their arrays and single objects laid out.
-_BODIES = """
+BODIES = """
 WITH raw AS (SELECT DISTINCT record_id, eli, call_result AS b FROM act_references WHERE record_id IS NOT NULL AND call_result IS NOT NULL AND json_valid(call_result)),
 decoded AS (SELECT record_id, eli, CASE WHEN json_type(b) = 'VARCHAR' THEN json_extract_string(b, '$') ELSE b END AS b FROM raw),
 body AS (SELECT DISTINCT record_id, eli, CASE WHEN json_type(b, '$.references') = 'OBJECT' THEN CAST(json_extract(b, '$.references') AS VARCHAR) ELSE b END AS b FROM decoded WHERE json_valid(b) AND json_type(b) = 'OBJECT'),
@@ -71,9 +71,9 @@ texts AS (SELECT record_id, eli, relation, ref_pos, CAST(i AS INTEGER) AS text_p
 """
 _ART = "CASE json_type(r, '$.art') WHEN 'ARRAY' THEN '[' || coalesce(array_to_string(list_transform(json_extract(r, '$.art[*]'), lambda x: CAST(x AS VARCHAR)), ', '), '') || ']' ELSE json_extract_string(r, '$.art') END"
 SQL = {
-    "p7_found": _BODIES + "SELECT record_id, relation, ref_pos, CAST(-1 AS INTEGER) AS text_pos FROM refs UNION SELECT record_id, relation, ref_pos, text_pos FROM texts",
-    "p7_references": _BODIES + f"SELECT DISTINCT record_id, eli, relation, ref_pos, json_extract_string(r, '$.date') AS date, {_ART} AS art, json_extract_string(r, '$.act.ELI') AS act_eli, json_extract_string(r, '$.act.type') AS act_type, json_extract_string(r, '$.act.title') AS act_title, json_extract_string(r, '$.act.promulgation') AS promulgation, json_extract_string(r, '$.act.announcementDate') AS announcement_date FROM refs",
-    "p7_texts": _BODIES + "SELECT DISTINCT record_id, eli, relation, ref_pos, text_pos, json_extract_string(x, '$.type') AS text_type, json_extract_string(x, '$.fileName') AS file_name FROM texts",
+    "p7_found": BODIES + "SELECT record_id, relation, ref_pos, CAST(-1 AS INTEGER) AS text_pos FROM refs UNION SELECT record_id, relation, ref_pos, text_pos FROM texts",
+    "p7_references": BODIES + f"SELECT DISTINCT record_id, eli, relation, ref_pos, json_extract_string(r, '$.date') AS date, {_ART} AS art, json_extract_string(r, '$.act.ELI') AS act_eli, json_extract_string(r, '$.act.type') AS act_type, json_extract_string(r, '$.act.title') AS act_title, json_extract_string(r, '$.act.promulgation') AS promulgation, json_extract_string(r, '$.act.announcementDate') AS announcement_date FROM refs",
+    "p7_texts": BODIES + "SELECT DISTINCT record_id, eli, relation, ref_pos, text_pos, json_extract_string(x, '$.type') AS text_type, json_extract_string(x, '$.fileName') AS file_name FROM texts",
     "p7_rejects": "SELECT DISTINCT record_id, CASE WHEN call_result IS NULL THEN 'null' WHEN NOT json_valid(call_result) THEN 'not_json' ELSE 'no_object' END AS reason FROM act_references WHERE call_result IS NULL OR NOT json_valid(call_result) OR json_type(call_result) NOT IN ('OBJECT', 'VARCHAR')",
     "p4_found": _NORMAL + "SELECT eli, eli_annotation, min(snap) AS valid_from, arg_max(nxt, n) AS valid_to FROM grouped GROUP BY eli, eli_annotation, g",
     "p4_history": _NORMAL + "SELECT eli, eli_annotation, min(snap) AS valid_from, arg_max(nxt, n) AS valid_to, any_value(t) AS type_of_change, any_value(d) AS date_of_change_annotation FROM grouped GROUP BY eli, eli_annotation, g",

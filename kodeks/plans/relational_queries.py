@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from kodeks.functions.normal import act_key, any_date
-from kodeks.functions.text import squeeze
+from kodeks.functions.text import squeeze, title_key
 from kodeks.operators import match
 from kodeks.operators import relational as R
 from kodeks.plans.registry import Registry
@@ -147,7 +147,7 @@ def route_status(spark, sf):
     return good.select(F.lit("success").alias("status")).unionByName(bad.select(F.lit("failed").alias("status"))).groupBy("status").agg(F.count("*").alias("n_rows"))
 
 
-@query()
+@query("SELECT record_id, CASE WHEN call_result IS NOT NULL AND json_valid(call_result) THEN 'success' ELSE 'failed' END AS status, CAST(CASE WHEN call_result IS NOT NULL AND json_valid(call_result) THEN 1 ELSE 2 END AS INTEGER) AS attempts FROM act_references")
 def retry_route(spark, sf):
     from kodeks.operators.tasks import run_rows
 
@@ -156,7 +156,38 @@ def retry_route(spark, sf):
 
         return type(json.loads(row["call_result"])).__name__
 
-    return run_rows(table(spark, sf, "act_references").select("record_id", "call_result"), "record_id", work, retries=2, delay=0.0)
+    return run_rows(table(spark, sf, "act_references").select("record_id", "call_result"), "record_id", work, retries=2, delay=0.0).select("record_id", "status", "attempts")
+
+
+@query(_VERSIONS + """, n AS (SELECT * FROM s WHERE d = 1), o AS (SELECT s.eli FROM s SEMI JOIN act_catalog USING (eli) WHERE a = 1)
+SELECT n.eli, o.eli IS NULL AS missing, n.eli IN (SELECT eli FROM act_references WHERE eli IS NOT NULL) AS has_new_refs FROM n LEFT JOIN o USING (eli) WHERE o.eli IS NULL OR n.eli IN (SELECT eli FROM act_references WHERE eli IS NOT NULL)""")
+def acts_to_process(spark, sf):
+    """Acts that the state lacks or that have references of their own."""
+    old, new = _act_versions(spark, sf)
+    state = old.join(table(spark, sf, "act_catalog").select("eli"), "eli", "left_semi")
+    known = R.mark(new, state, ["eli"], "known")
+    marked = R.mark(known, table(spark, sf, "act_references").where("eli IS NOT NULL"), ["eli"], "has_new_refs")
+    return marked.select("eli", (~F.col("known")).alias("missing"), "has_new_refs").where("missing OR has_new_refs")
+
+
+@query("SELECT eli, status, title, title IS NULL AS lacks FROM acts")
+def suffix_columns(spark, sf):
+    """Columns renamed by their suffix, others dropped by theirs."""
+    a = table(spark, sf, "acts").select(F.col("eli").alias("eli_api"), F.col("status").alias("status_api"), F.col("title").alias("title_api"), F.col("title").isNull().alias("lacks"), F.lit(True).alias("x_changed"))
+    return R.strip_suffix(R.drop_suffix(a, "_changed"), "_api")
+
+
+@query("SELECT eli, CASE WHEN textpdf THEN 'pdf' ELSE 'html' END AS kind, filename_of_pdf FROM acts WHERE (textpdf AND filename_of_pdf IS NOT NULL) OR texthtml IS NOT NULL AND NOT (textpdf AND filename_of_pdf IS NOT NULL) AND FALSE")
+def tagged_round_trip(spark, sf):
+    """Objects with a type tag, written and read again."""
+    a = table(spark, sf, "acts").where("textpdf AND filename_of_pdf IS NOT NULL").withColumn("kind", F.lit("pdf"))
+    objects = R.tagged(a, "eli", {"pdf": ["kind", "filename_of_pdf"]})
+    return R.untagged(objects, "eli", "kind string, filename_of_pdf string").select("eli", "kind", "filename_of_pdf")
+
+
+@query("SELECT eli, 'SET ' || array_to_string(list_transform(l, lambda x: x[1] || ' = :' || x[1]), ', ') AS expression FROM (SELECT eli, list_filter([['status', status], ['title', title], ['changedate', changedate]], lambda x: x[2] IS NOT NULL) AS l FROM acts) WHERE len(l) > 0")
+def update_expression(spark, sf):
+    return R.assignments(table(spark, sf, "acts"), "eli", ["status", "title", "changedate"]).select("eli", "expression")
 
 
 @query("SELECT eli, count(*) AS n_rows FROM acts GROUP BY eli HAVING count(*) > 1")
@@ -216,16 +247,23 @@ def title_exact_join(spark, sf):
     return match.exact_titles(table(spark, sf, "llm_references").select("ref_id", "tytul").distinct(), table(spark, sf, "act_catalog"), "ref_id")
 
 
-@query("""SELECT r.ref_id, coalesce(c.eli, s.eli) AS eli, CASE WHEN c.eli IS NOT NULL THEN 'title' WHEN s.eli IS NOT NULL THEN 'short' ELSE 'unresolved' END AS how
- FROM (SELECT DISTINCT ref_id, tytul, skrot FROM llm_references) r LEFT JOIN act_catalog c ON rtrim(trim(lower(r.tytul)), '.') = rtrim(trim(lower(c.tytul)), '.') LEFT JOIN act_catalog s ON r.skrot = s.skrot""")
+_LETTERS = "abcdefghijklmnoprstuwyz"
+_COUNTS = "[" + ", ".join(f"CAST(length(x) - length(replace(x, '{c}', '')) AS DOUBLE)" for c in _LETTERS) + "]"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT tytul, CASE WHEN ends_with(trim(lower(tytul)), '.') THEN trim(lower(tytul)) ELSE trim(lower(tytul)) || '.' END AS x FROM llm_references WHERE tytul IS NOT NULL),
+k AS (SELECT eli, CASE WHEN ends_with(trim(lower(tytul)), '.') THEN trim(lower(tytul)) ELSE trim(lower(tytul)) || '.' END AS x FROM act_catalog),
+av AS (SELECT tytul, x, {_COUNTS} AS v FROM a), kv AS (SELECT eli, x, {_COUNTS} AS v FROM k),
+e AS (SELECT av.tytul, av.v, min(kv.eli) AS eli FROM av LEFT JOIN kv USING (x) GROUP BY av.tytul, av.v),
+n AS (SELECT tytul, s, eli, row_number() OVER (PARTITION BY tytul ORDER BY s DESC, eli) AS r FROM (SELECT e.tytul, kv.eli, round(list_cosine_similarity(e.v, kv.v), 6) AS s FROM e, kv WHERE e.eli IS NULL AND list_sum(e.v) > 0))
+SELECT e.tytul, coalesce(e.eli, n.eli) AS eli, CASE WHEN e.eli IS NOT NULL THEN 'title' WHEN n.eli IS NOT NULL THEN 'nearest' ELSE 'unresolved' END AS how FROM e LEFT JOIN n ON n.tytul = e.tytul AND n.r = 1 AND n.s >= 0.87""")
 def title_cascade(spark, sf):
-    r = table(spark, sf, "llm_references").select("ref_id", "tytul", "skrot").distinct()
-    c = table(spark, sf, "act_catalog")
-    t = lambda x: F.rtrim(F.trim(F.lower(x)), F.lit("."))
-    a = c.select(t("tytul").alias("t_"), F.col("eli").alias("by_title"))
-    b = c.select(F.col("skrot"), F.col("eli").alias("by_short"))
-    j = r.withColumn("t_", t("tytul")).join(a, "t_", "left").join(b, "skrot", "left")
-    return j.select("ref_id", F.coalesce("by_title", "by_short").alias("eli"), F.when(F.col("by_title").isNotNull(), "title").when(F.col("by_short").isNotNull(), "short").otherwise("unresolved").alias("how"))
+    """Exact title, else the nearest by a vector of letter counts, which stands for the embedding, else unresolved."""
+    t = title_key(F.col("tytul"))
+    vector = F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).cast("double") for c in _LETTERS]).alias("v_")
+    asked = table(spark, sf, "llm_references").where("tytul IS NOT NULL").select("tytul").distinct().select("tytul", vector)
+    known = table(spark, sf, "act_catalog").select("eli", "tytul", vector)
+    return match.title_cascade(asked, known, "tytul", "tytul", "v_")
 
 
 @query("""SELECT q AS vec_id, arg_max(v, (s, -v)) AS neighbour, max(s) AS score FROM (SELECT a.vec_id AS q, b.vec_id AS v, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s

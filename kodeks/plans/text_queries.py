@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kodeks.functions import text as T
 from kodeks.operators import match, split, structure
 from kodeks.operators.nested import reference_tables
+from kodeks.plans.core_problems import BODIES
 from kodeks.plans.registry import Registry
 from kodeks.session import table
 
@@ -42,14 +43,46 @@ def flatten_units(spark, sf):
     return table(spark, sf, "llm_references").select("ref_id", F.explode(F.transform("przepisy", lambda x: F.concat_ws("/", x["artykul"], x["ustep"], x["punkt"]))).alias("unit_path"))
 
 
-@query()
-def ref_dates(spark, sf):
-    """Date of every reference that changes an act: its own, save for consolidated texts, else the act's promulgation,
-    else its announcement where the act is one. Null where none is known."""
+_CHANGING = "relation IN ('" + "', '".join(CHANGING) + "')"
+_DATE = "coalesce(CASE WHEN NOT contains(lower(relation), 'inf.') THEN json_extract_string(r, '$.date') END, json_extract_string(r, '$.act.promulgation'), CASE WHEN json_extract_string(r, '$.act.type') = 'Obwieszczenie' THEN json_extract_string(r, '$.act.announcementDate') END)"
+
+
+def _dated(spark, sf):
     refs, _ = reference_tables(table(spark, sf, "act_references"))
     refs = refs.where(F.col("relation").isin(CHANGING))
     own = F.when(~F.lower("relation").contains("inf."), F.col("date"))
-    return refs.select("record_id", "relation", "ref_pos", F.coalesce(own, "promulgation", F.when(F.col("act_type") == "Obwieszczenie", F.col("announcement_date"))).alias("ref_date"))
+    return refs.withColumn("ref_date", F.coalesce(own, "promulgation", F.when(F.col("act_type") == "Obwieszczenie", F.col("announcement_date"))))
+
+
+@query(BODIES + f"SELECT DISTINCT record_id, relation, ref_pos, {_DATE} AS ref_date FROM refs WHERE {_CHANGING}")
+def ref_dates(spark, sf):
+    """Date of every reference that changes an act: its own, save for consolidated texts, else the act's promulgation,
+    else its announcement where the act is one. Null where none is known."""
+    return _dated(spark, sf).select("record_id", "relation", "ref_pos", "ref_date").distinct()
+
+
+@query(BODIES + f"""SELECT DISTINCT record_id, relation, ref_pos, act_eli, ref_date, CASE WHEN act_eli IS NULL THEN 'no_eli' WHEN json_extract_string(r, '$.act.type') IS NULL THEN 'no_type' WHEN json_extract_string(r, '$.act.title') IS NULL THEN 'no_title' WHEN ref_date IS NULL THEN 'no_date' END AS error
+ FROM (SELECT *, json_extract_string(r, '$.act.ELI') AS act_eli, {_DATE} AS ref_date FROM refs WHERE {_CHANGING})""")
+def ref_extract(spark, sf):
+    """References that change an act, with the first thing they lack as their error."""
+    lacks = F.when(F.col("act_eli").isNull(), "no_eli").when(F.col("act_type").isNull(), "no_type").when(F.col("act_title").isNull(), "no_title").when(F.col("ref_date").isNull(), "no_date")
+    return _dated(spark, sf).select("record_id", "relation", "ref_pos", "act_eli", "ref_date", lacks.alias("error")).distinct()
+
+
+@query("SELECT char_id, translate(text, '{a}', '{b}') AS up, translate(text, '{c}', '{d}') AS down FROM act_chars".format(a=T.TO_RAISE.replace("'", "''"), b=T.RAISED_ALL, c=T.TO_LOWER.replace("'", "''"), d=T.LOWERED_ALL))
+def script_map(spark, sf):
+    return table(spark, sf, "act_chars").select("char_id", T.raised(F.col("text")).alias("up"), T.lowered(F.col("text")).alias("down"))
+
+
+@query("SELECT DISTINCT ref_id, coalesce(regexp_matches(trim(regexp_replace(tytul, '[\\s\\x{00a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+', ' ', 'g')), '(?is)^Ustawa\\s+z\\s+dnia\\s+([0-9]{1,2}\\s+(" + T.MONTH_NAMES + ")|[0-9]{2}[.][0-9]{2})\\s+[0-9]{4}\\s+r[.]\\s+.*$'), FALSE) AS full_title FROM llm_references")
+def title_valid(spark, sf):
+    return table(spark, sf, "llm_references").select("ref_id", T.is_full_title(F.col("tytul")).alias("full_title")).distinct()
+
+
+@query("SELECT eli, to_base64(encode(title)) AS encoded, translate(title, '-–—', '−−−') AS one_dash, NOT regexp_matches(title, '[(]cid:[0-9]+[)]') AS decodable FROM acts WHERE title IS NOT NULL")
+def encoded_titles(spark, sf):
+    t = F.col("title")
+    return table(spark, sf, "acts").where("title IS NOT NULL").select("eli", T.encoded(t).alias("encoded"), T.usual_signs(t).alias("one_dash"), T.is_decodable(t).alias("decodable"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS squeezed FROM documents")
@@ -128,11 +161,22 @@ def drop_repealed(spark, sf):
     return table(spark, sf, "acts").where(T.in_force(s)).select("eli", "status")
 
 
-@query("SELECT DISTINCT ref_id, artykul FROM (SELECT ref_id, p.artykul AS artykul, i FROM (SELECT ref_id, unnest(przepisy) AS p, generate_subscripts(przepisy, 1) AS i FROM llm_references)) WHERE i BETWEEN 2 AND 3")
+@query("""WITH u AS (SELECT ref_id, p.artykul AS unit_id, i FROM (SELECT ref_id, unnest(przepisy) AS p, generate_subscripts(przepisy, 1) - 1 AS i FROM (SELECT DISTINCT ref_id, przepisy FROM llm_references)) WHERE p.artykul IS NOT NULL),
+w AS (SELECT ref_id, CASE ref_id % 4 WHEN 0 THEN [list[1]] WHEN 1 THEN [list[1], list[len(list)]] WHEN 2 THEN ['999'] ELSE [list[len(list)], '999'] END AS ids FROM (SELECT ref_id, list(unit_id ORDER BY i) AS list FROM u GROUP BY ref_id)),
+s AS (SELECT ref_id, ids, (SELECT min(i) FROM u WHERE u.ref_id = w.ref_id AND unit_id = ids[1]) AS a FROM w),
+e AS (SELECT *, (SELECT min(i) FROM u WHERE u.ref_id = s.ref_id AND i >= a AND unit_id = ids[len(ids)]) AS b FROM s)
+SELECT e.ref_id, array_to_string(ids, '..') AS asked, u.unit_id, NULL AS error FROM e JOIN u ON u.ref_id = e.ref_id AND u.i BETWEEN a AND b
+UNION ALL SELECT ref_id, array_to_string(ids, '..'), NULL, CASE WHEN a IS NULL THEN CASE len(ids) WHEN 1 THEN 'not_found' ELSE 'start_not_found' END ELSE 'end_not_found' END FROM e WHERE a IS NULL OR b IS NULL""")
 def unit_range(spark, sf):
-    """Units from the second to the third, by position."""
-    r = table(spark, sf, "llm_references").where("size(przepisy) > 0").select("ref_id", F.posexplode("przepisy").alias("i", "p"))
-    return r.where("i BETWEEN 1 AND 2").select("ref_id", "p.artykul").distinct()
+    """Units from a start id to an end id by position, single ids, and the errors of ids that aren't there: over the
+    articles that a reference lists."""
+    r = table(spark, sf, "llm_references").select("ref_id", "przepisy").distinct().select("ref_id", F.posexplode("przepisy").alias("i", "p")).where("p.artykul IS NOT NULL")
+    units = r.select("ref_id", "i", F.col("p.artykul").alias("unit_id"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("i", "unit_id"))), lambda x: x["unit_id"])
+    first, last, none = F.element_at("l_", 1), F.element_at("l_", -1), F.lit("999")
+    m = F.col("ref_id") % 4
+    wanted = units.groupBy("ref_id").agg(ids.alias("l_")).select("ref_id", F.when(m == 0, F.array(first)).when(m == 1, F.array(first, last)).when(m == 2, F.array(none)).otherwise(F.array(last, none)).alias("ids"))
+    return split.select_units(units, ["ref_id"], "i", wanted).select("ref_id", F.array_join("ids", "..").alias("asked"), "unit_id", "error")
 
 
 @query("""SELECT r.ref_id, c.eli, r.unit_no, r.p.artykul AS artykul, r.p.ustep AS ustep, r.p.punkt AS punkt FROM
