@@ -97,15 +97,16 @@ def gap_fill(spark, sf):
 _PIECES = "(SELECT DISTINCT page_id, l.index_in_act AS s, l.index_in_act + length(l.text) + 1 AS e FROM (SELECT page_id, unnest(page.paragraph_lines) AS l FROM act_pages) WHERE l.text IS NOT NULL)"
 
 
-@query(f"""SELECT page_id, CASE WHEN o THEN 'overlap' WHEN g THEN 'gap' WHEN b THEN 'bounds' END AS error FROM (SELECT page_id, bool_or(coalesce(s <= far, FALSE)) AS o, bool_or(coalesce(s > far + 1, FALSE)) AS g, min(s) <> min(s0) OR max(e) <> max(e0) AS b FROM
- (SELECT *, max(e) OVER (PARTITION BY page_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far, min(s) OVER (PARTITION BY page_id) AS s0, s + (e - s) // 2 * 0 + max(e) OVER (PARTITION BY page_id) - s AS e0 FROM {_PIECES}) GROUP BY page_id) WHERE o OR g OR b""")
+@query(f"""SELECT page_id, CASE WHEN o THEN 'overlap' WHEN g THEN 'gap' WHEN b THEN 'bounds' ELSE 'ok' END AS error FROM (SELECT page_id, bool_or(coalesce(s <= far, FALSE)) AS o, bool_or(coalesce(s > far + 1, FALSE)) AS g, min(s) <> min(s0) OR max(e) <> max(e0) AS b FROM
+ (SELECT *, max(e) OVER (PARTITION BY page_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far, min(s) OVER (PARTITION BY page_id) AS s0, s + (e - s) // 2 * 0 + max(e) OVER (PARTITION BY page_id) - s AS e0 FROM {_PIECES}) GROUP BY page_id)""")
 def cover_check(spark, sf):
     """Pages whose lines, with their two closing characters, don't cover the page's stretch of the act one after another."""
     p = table(spark, sf, "act_pages").select("page_id", F.explode("page.paragraph_lines").alias("l")).where("l.text IS NOT NULL")
     pieces = p.select("page_id", F.col("l.index_in_act").alias("s"), (F.col("l.index_in_act") + F.length("l.text") + 1).alias("e")).distinct()
     page = Window.partitionBy("page_id")
     pieces = pieces.withColumns({"f": F.min("s").over(page), "z": F.max("e").over(page)})
-    return structure.cover_errors(pieces, ["page_id"], F.col("s"), F.col("e"), F.col("f"), F.col("z"))
+    errors = structure.cover_errors(pieces, ["page_id"], F.col("s"), F.col("e"), F.col("f"), F.col("z"))
+    return pieces.select("page_id").distinct().join(errors, "page_id", "left").select("page_id", F.coalesce("error", F.lit("ok")).alias("error"))
 
 
 @query("SELECT DISTINCT ref_id, list_transform(przepisy, lambda x: CAST(regexp_extract(x.artykul, '^([0-9]+)', 1) AS BIGINT)) = list_sort(list_transform(przepisy, lambda x: CAST(regexp_extract(x.artykul, '^([0-9]+)', 1) AS BIGINT))) AS ascends FROM llm_references WHERE przepisy IS NOT NULL AND len(list_filter(przepisy, lambda x: x.artykul IS NULL)) = 0")
