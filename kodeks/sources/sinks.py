@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kodeks.operators.relational import duplicate_keys, upsert
@@ -56,3 +56,42 @@ def upsert_table(new: DataFrame, path: str, keys: list[str], version: int) -> st
 def drop_expired(df: DataFrame, as_of, column: str = "expires_at") -> DataFrame:
     """Rows that have not expired at ``as_of``; a null never expires."""
     return df.where(F.col(column).isNull() | (F.col(column) > F.lit(as_of)))
+
+
+def insert_valid(df: DataFrame, path: str, keys: list[str], rules: dict[str, Column], version: int) -> DataFrame:
+    """Write the rows that keep all ``rules`` and have their keys as the folder ``version=<n>``, the others, with the names
+    of what they break, beside it under ``<path>-rejects``; returns the latter. A rule that is null is broken."""
+    all_ = {f"no_{k}": F.col(k).isNotNull() for k in keys} | rules
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in all_.items()]))
+    df.where(F.size(broken) == 0).write.mode("overwrite").parquet(f"{path}/version={version}")
+    at = f"{path}-rejects/version={version}"
+    df.withColumn("broken", broken).where(F.size("broken") > 0).write.mode("overwrite").parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def read_buckets(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The rows of a table of buckets, of every bucket its last version (before ``before``), with the column ``bucket``."""
+    rows = spark.read.parquet(path)
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    last = rows.groupBy("bucket").agg(F.max("version").alias("version"))  # a row for each bucket, whose number is given
+    return rows.join(F.broadcast(last), ["bucket", "version"]).drop("version")
+
+
+def upsert_buckets(new: DataFrame, path: str, keys: list[str], version: int, buckets: int = 64) -> str:
+    """Put rows in place of those of the same keys in a table of buckets by a hash of the key. Only the buckets that new
+    rows fall into are written again, as version n; a repeated write replaces what a failed one left."""
+    new = new.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if version > 0:
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]
+        old = read_buckets(new.sparkSession, path, version).where(F.col("bucket").isin(touched))
+        new = upsert(old, new, keys)
+    new.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={version}")
+    return path
+
+
+def write_status(spark: SparkSession, path: str, invoke_id: str, status: str, error: str | None = None) -> str:
+    """One row of a run's log: IN_PROGRESS, DONE or FAILED, with its time."""
+    row = spark.createDataFrame([(invoke_id, status, error)], "invoke_id string, status string, error string").withColumn("at", F.current_timestamp())
+    row.write.mode("append").parquet(path)
+    return path
