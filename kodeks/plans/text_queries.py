@@ -124,11 +124,12 @@ def substr_count(spark, sf):
 
 @query("""SELECT doc_id, min(i) AS word_at FROM (SELECT doc_id, w, generate_subscripts(w, 1) - 1 AS i FROM (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents)) WHERE w[i + 1] = 'o' AND w[i + 2] = 'których' AND w[i + 3] = 'mowa' GROUP BY doc_id""")
 def phrase_find(spark, sf):
-    """First word position of a phrase: the list of words is compared with the phrase at every place."""
-    phrase = F.array(*[F.lit(w) for w in "o których mowa".split()])
-    d = table(spark, sf, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("w")).where("size(w) >= 3")
-    hits = F.filter(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.slice("w", i + 1, F.lit(3)) == phrase)
-    return d.select("doc_id", F.get(hits, 0).cast("long").alias("word_at")).where("word_at IS NOT NULL")
+    """First word position of a phrase in a document's texts: the blanks before it. One search of the text as a string; a
+    list of its words would be split again at every place, as Spark puts its expression into lambdas and filters."""
+    phrase = " o których mowa "
+    text = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
+    d = table(spark, sf, "documents").where(F.contains(text, F.lit(phrase)))
+    return d.select("doc_id", F.regexp_count(F.substring_index(text, phrase, 1), F.lit(" ")).cast("long").alias("word_at")).groupBy("doc_id").agg(F.min("word_at").alias("word_at"))
 
 
 _CHARS = "(SELECT nro, c, count(*) AS n FROM (SELECT nro, unnest(string_split({f}, '')) AS c FROM (SELECT DISTINCT nro, title, question_content FROM questions)) WHERE c <> '' GROUP BY nro, c)"

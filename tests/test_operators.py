@@ -188,3 +188,24 @@ def test_unit_queries_run(spark, data):
     q = entry.queries()
     assert {r.level for r in q["unit_bodies"](spark, data).select("level").distinct().collect()} >= {"article"}
     q["unit_select"](spark, data).collect()  # the references name no act that has pages here
+
+
+def test_phrase_in_long_and_repeated_documents(spark, tmp_path):
+    import time
+
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    texts = ["o których mowa", "O KTÓRYCH Mowa.", "o  których mowa", "a  o których mowa", " o których mowa ", "z o których o których mowa\u00a0", "to których mowa o których mowa o których mowa", "o\nktórych mowa", "x\to których mowa", "o których mowa\n", "o ktorych mowa", "o których mowawia o których mowa", "\u0130 Σ o których mowa", "o których", " ", "", None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(90, "a b c d o których mowa"), (90, "a o których mowa"), (90, "brak"), (None, "a o których mowa"), (None, "o których mowa")]
+    rows += [(91, "o których " * 15_000 + "mowa"), (92, "słowo " * 30_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(entry.oracle_sql()["phrase_find"]).fetchall()
+    began = time.time()
+    got = [tuple(r) for r in entry.queries()["phrase_find"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and (91, 29_998) in got
+    assert time.time() - began < 20  # a split for every word takes minutes
